@@ -13,8 +13,10 @@ from __future__ import annotations
 import functools
 import math
 import string
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,24 @@ from docketry.llm.lookalikes import TO_LATIN, usual_form
 WINDOW = 3
 #: consecutive item words a page must print
 MIN_WORDS = 12
-#: windows of each MIN_WORDS stretch that are indexed, most telling first
-PER_STRETCH = 7
+#: windows of each MIN_WORDS stretch that are indexed at least, most telling first
+PER_STRETCH = 5
+#: a word on at most this share of all pages is telling; every window that holds one is indexed
+TELLING_SHARE = 0.05
+#: weight of such a word
+TELLING = 1 + math.log(1 / TELLING_SHARE) / 8
 #: bits of the three blocks; distance below the number of blocks is guaranteed
 BLOCKS = (22, 21, 21)
 RADIUS = len(BLOCKS) - 1
 #: doc words an interposed advert or misplaced piece may have
 MAX_INTERPOSED = 60
+#: likeness at which a word between two standing neighbours still counts as the damaged item word
+BADLY_DAMAGED = 0.55
 #: share of a passage's word weight that must be printed intact
-MIN_INTACT = 0.35
+MIN_INTACT = 0.4
+#: further words about a seed that must be the item's, within one word of its diagonal: so many with a telling one
+#: among them, or so many of any kind
+NEIGHBOURS_TELLING, NEIGHBOURS_ANY = 3, 7
 #: items indexed at once
 ITEMS_PER_BLOCK = 4096
 
@@ -106,9 +117,9 @@ def alike(a: str, b: str) -> float:
     return 1 - row[lb] / max(la, lb)
 
 
-def same_word(a: str, b: str) -> bool:
-    n = max(len(a), len(b))
-    return alike(a, b) >= (0.6 if n > 4 else 0.5)
+def same_word(a: str, b: str, words) -> bool:
+    """Whether page word ``b`` prints item word ``a``, damaged or not; another of the items' own words is no damage."""
+    return a == b or (b not in words and alike(a, b) >= (0.6 if max(len(a), len(b)) > 4 else 0.5))
 
 
 @dataclass
@@ -125,7 +136,7 @@ class ItemIndex:
     seen: list[np.ndarray]
 
 
-def _vectors(vocabulary: list[str], weight: dict[str, float], other: float) -> np.ndarray:
+def _vectors(vocabulary: list[str], weight: dict[str, float], other: float = 1.0) -> np.ndarray:
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in vocabulary], dtype=">u8")
     signs = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int16) * 2 - 1
     scale = np.array([max(1, round(8 * weight.get(w, other))) for w in vocabulary], dtype=np.int16)
@@ -144,23 +155,28 @@ def _block(prints: np.ndarray, k: int) -> np.ndarray:
     return ((prints >> np.uint64(sum(BLOCKS[:k]))) & np.uint64((1 << BLOCKS[k]) - 1)).astype(np.int64)
 
 
-def build_index(items: list[tuple[int, str]]) -> ItemIndex:
-    """Index of the telling windows: of each MIN_WORDS stretch of an item the PER_STRETCH windows of most word weight."""
+def build_index(items: list[tuple[int, str]], pages_with: dict[str, int], n_pages: int) -> ItemIndex:
+    """Index of the telling windows, and of at least PER_STRETCH windows of each MIN_WORDS stretch of an item.
+
+    ``pages_with`` counts, for the items' words, the pages of the whole corpus that hold them.
+    """
     ids = np.array([i for i, _ in items], dtype=np.int64)
     words = [words_of(t.replace("\n", " ")) for _, t in items]
     held = Counter(w for ws in words for w in set(ws))
-    weight = {w: math.log((1 + len(words)) / n) + 0.1 for w, n in held.items()}
+    weight = {w: 1 + math.log((1 + n_pages) / (1 + pages_with.get(w, 0))) / 8 for w in held}
     vocabulary = sorted(weight)
     number = {w: n for n, w in enumerate(vocabulary)}
-    vectors = _vectors(vocabulary, weight, 0.1) if vocabulary else np.zeros((0, 64), np.int16)
+    vectors = _vectors(vocabulary, weight) if vocabulary else np.zeros((0, 64), np.int16)
     prints, where = [], []
     for k, ws in enumerate(words):
         if len(ws) < MIN_WORDS:
             continue
         gains = [sum(weight[w] for w in ws[p : p + WINDOW]) for p in range(len(ws) - WINDOW + 1)]
-        keep: set[int] = set()
+        keep = {p for p in range(len(gains)) if max(weight[w] for w in ws[p : p + WINDOW]) >= TELLING}
         for start in range(len(ws) - MIN_WORDS + 1):
-            keep.update(sorted(range(start, start + MIN_WORDS - WINDOW + 1), key=lambda p: -gains[p])[:PER_STRETCH])
+            stretch = range(start, start + MIN_WORDS - WINDOW + 1)
+            if (missing := PER_STRETCH - sum(p in keep for p in stretch)) > 0:
+                keep.update(sorted((p for p in stretch if p not in keep), key=lambda p: -gains[p])[:missing])
         at = np.array(sorted(keep))
         prints.append(_prints(np.array([number[w] for w in ws]), vectors)[at])
         where.append(np.stack([np.full(len(at), k), at], axis=1))
@@ -193,7 +209,34 @@ def seeds(prints: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray]
     return both[0], both[1]
 
 
-def _walk(item: list[str], page: list[str], starts: list[bool], i: int, j: int, step: int) -> list[tuple[int, int, float]]:
+def supported(ids: np.ndarray, number: dict[str, int], index: ItemIndex, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which seeds have enough further item words about them.
+
+    A passage of MIN_WORDS has nine further words; an advert or broken word within it moves those beyond it off the
+    diagonal, but then the longer side has seeds of its own.
+    """
+    reach = MIN_WORDS - WINDOW
+    pad = np.full(reach + 2, -2, np.int64)
+    flat, rare, offset, at = [pad], [pad == 0], [], len(pad)
+    for ws in index.words:
+        offset.append(at)
+        flat += [np.array([number.get(w, -2) for w in ws], np.int64), pad]
+        rare += [np.array([index.weight[w] >= TELLING for w in ws], bool), pad == 0]
+        at += len(ws) + len(pad)
+    item, telling = np.concatenate(flat), np.concatenate(rare)
+    page = np.concatenate([pad - 1, ids, pad - 1])
+    q = np.array(offset)[index.where[b, 0]] + index.where[b, 1]
+    p = a + len(pad)
+    count, told = np.zeros(len(a), np.int64), np.zeros(len(a), bool)
+    for o in [*range(-reach, 0), *range(WINDOW, WINDOW + reach)]:
+        want = item[q + o]
+        equal = (want == page[p + o]) | (want == page[p + o - 1]) | (want == page[p + o + 1])
+        count += equal
+        told |= equal & telling[q + o]
+    return ((count >= NEIGHBOURS_TELLING) & told) | (count >= NEIGHBOURS_ANY)
+
+
+def _walk(item: list[str], page: list[str], lines: list[int], words, i: int, j: int, step: int) -> list[tuple[int, int, float]]:
     """Aligned (item position, page position, likeness) beyond (i, j) in one direction, until the texts part."""
     out: list[tuple[int, int, float]] = []
 
@@ -209,11 +252,17 @@ def _walk(item: list[str], page: list[str], starts: list[bool], i: int, j: int,
 
     def boundary(at):  # a line ends between at and the word before it in walking direction
         edge = at if step > 0 else at + 1
-        return 0 <= edge < len(starts) and starts[edge]
+        k = bisect_left(lines, edge)
+        return k < len(lines) and lines[k] == edge
+
+    def ahead(at):  # the words just beyond the next line ends, up to MAX_INTERPOSED words away
+        if step > 0:
+            return (x for x in lines[bisect_left(lines, at + 2) : bisect_left(lines, at + 2 + MAX_INTERPOSED)] if x < len(page))
+        return (x - 1 for x in reversed(lines[bisect_left(lines, at - MAX_INTERPOSED) : bisect_left(lines, at)]) if x > 0)
 
     while it(1) is not None:
         a, b = it(1), pg(1)
-        if b is not None and same_word(a, b):
+        if b is not None and same_word(a, b, words):
             i, j = i + step, j + step
             out.append((i, j, alike(a, b)))
             continue
@@ -226,36 +275,31 @@ def _walk(item: list[str], page: list[str], starts: list[bool], i: int, j: int,
             out.append((i, j, 0.9))
             continue
         jump = None
-        for k in range(1, MAX_INTERPOSED + 1):
-            at = j + step * (k + 1)
-            if not 0 <= at < len(page):
-                break
-            if not boundary(at):
-                continue
+        here, after = boundary(j + step), b is not None and boundary(j + 2 * step) and len(a) > 3
+        for at in (ahead(j) if here or after else ()):
             c, d = page[at], pg(1, at)
-            whole = same_word(a, c) and (it(2) is None or (d is not None and same_word(it(2), d)))
-            if whole and (boundary(j + step) or k == 1):
-                jump = (at, 1)
-                break
-            if b is not None and boundary(j + 2 * step) and len(a) > 3 and alike(a, glue(b, c)) >= 0.8:  # broken about the advert
-                jump = (at, 1)
+            if here and same_word(a, c, words) and (it(2) is None or (d is not None and same_word(it(2), d, words))):
+                jump = at
+            elif after and alike(a, glue(b, c)) >= 0.8:  # broken about the advert
+                jump = at
+            if jump is not None:
                 break
-        if jump:
-            i, j = i + step, jump[0]
+        if jump is not None:
+            i, j = i + step, jump
             out.append((i, j, 0.9))
             continue
-        if it(2) is not None and pg(2) is not None and same_word(it(2), pg(2)) and (it(3) is None or (pg(3) is not None and same_word(it(3), pg(3)))):
-            i, j = i + step, j + step  # damaged beyond recognition, but its neighbours stand
+        if b is not None and it(2) is not None and pg(2) is not None and b not in words and alike(a, b) >= BADLY_DAMAGED and same_word(it(2), pg(2), words) and (it(3) is None or (pg(3) is not None and same_word(it(3), pg(3), words))):
+            i, j = i + step, j + step  # badly damaged, but its neighbours stand
             out.append((i, j, 0.0))
             continue
         break
     return out
 
 
-def passage(item: list[str], page: list[str], starts: list[bool], i: int, j: int) -> list[tuple[int, int, float]]:
+def passage(item: list[str], page: list[str], lines: list[int], words, i: int, j: int) -> list[tuple[int, int, float]]:
     """Longest alignment through the seed (i, j), without doubtful words at its ends."""
     core = [(i + k, j + k, alike(item[i + k], page[j + k])) for k in range(WINDOW) if i + k < len(item) and j + k < len(page)]
-    path = _walk(item, page, starts, i, j, -1)[::-1] + core + _walk(item, page, starts, i + WINDOW - 1, j + WINDOW - 1, 1)
+    path = _walk(item, page, lines, words, i, j, -1)[::-1] + core + _walk(item, page, lines, words, i + WINDOW - 1, j + WINDOW - 1, 1)
 
     def doubtful(p):
         return p[2] < 0.5 or (p[2] < 0.9 and len(item[p[0]]) < 3)
@@ -267,7 +311,7 @@ def passage(item: list[str], page: list[str], starts: list[bool], i: int, j: int
     return path
 
 
-def find_in_page(page: list[str], starts: list[bool], pairs: list[tuple[int, int]], index: ItemIndex):
+def find_in_page(page: list[str], lines: list[int], pairs: list[tuple[int, int]], index: ItemIndex, least: int = MIN_WORDS):
     """(item number, words) of each item of which the page prints at least MIN_WORDS consecutive words."""
     by_item: dict[int, list[tuple[int, int]]] = {}
     for j, w in pairs:
@@ -278,7 +322,7 @@ def find_in_page(page: list[str], starts: list[bool], pairs: list[tuple[int, int
         for j, i in places:
             if (i, j) in done:
                 continue
-            path = passage(item, page, starts, i, j)
+            path = passage(item, page, lines, index.weight, i, j)
             done.update((a, b) for a, b, _ in path)
             if not path:
                 continue
@@ -286,7 +330,7 @@ def find_in_page(page: list[str], starts: list[bool], pairs: list[tuple[int, int
             intact = sum(w for w, (_, _, s) in zip(weight, path) if s >= 0.99) / sum(weight)
             if intact >= MIN_INTACT:
                 best = max(best, path[-1][0] - path[0][0] + 1)
-        if best >= MIN_WORDS:
+        if best >= least:
             yield k, best
 
 
@@ -300,43 +344,76 @@ def scan_pages(pages, index: ItemIndex):
         chunk = pages[first : first + PAGES_AT_ONCE]
         number: dict[str, int] = {}
         ids: list[int] = []
+        known, add = number.get, ids.append
         ends: list[int] = []
         lines_of = []
         for text, xs, ys, ws, n in chunk:
-            lines = [words_of(p) for p in reading_order(text, xs, ys, ws, n)]
+            pieces = "\n".join(reading_order(text, xs, ys, ws, n))
+            if not pieces.isascii():
+                pieces = "".join(map(_fold_char, pieces))
+            lines = [x.split() for x in pieces.lower().translate(_DROP).split("\n")]
             lines_of.append(lines)
             for line in lines:
-                ids += [number.setdefault(w, len(number)) for w in line]
+                for w in line:
+                    k = known(w)
+                    if k is None:
+                        k = number[w] = len(number)
+                    add(k)
             ends.append(len(ids))
         if len(ids) < WINDOW:
             continue
-        vectors = _vectors(list(number), index.weight, 0.1)
-        a, b = seeds(_prints(np.array(ids), vectors), index)
+        vectors = _vectors(list(number), index.weight)
+        flat = np.array(ids)
+        a, b = seeds(_prints(flat, vectors), index)
         if not len(a):
             continue
+        stands = supported(flat, number, index, a, b)
+        a, b = a[stands], b[stands]
         own = np.searchsorted(ends, a, "right")
         inside = a + WINDOW <= np.array(ends)[own]
         a, b, own = a[inside], b[inside], own[inside]
+        # overlapping windows on one diagonal are one stretch of text: its first seed stands for all
+        item, diagonal = index.where[b, 0], index.where[b, 1] - a
+        order = np.lexsort((a, diagonal, item, own))
+        same = np.ones(len(order), bool)
+        for x in (own, item, diagonal):
+            same[1:] &= x[order][1:] == x[order][:-1]
+        same[1:] &= np.diff(a[order]) <= WINDOW
+        same[:1] = False
+        a, b, own = a[order][~same], b[order][~same], own[order][~same]
         for p in np.unique(own):
             base = ends[p - 1] if p else 0
             mine = own == p
             page = [w for line in lines_of[p] for w in line]
-            starts = [k == 0 for line in lines_of[p] for k in range(len(line))]
+            starts = list(accumulate((len(line) for line in lines_of[p]), initial=0))
             for k, n in find_in_page(page, starts, list(zip((a[mine] - base).tolist(), b[mine].tolist())), index):
                 yield first + int(p), k, n
 
 
+def page_counts(documents: DataFrame, text: str, vocabulary: list[str]) -> tuple[dict[str, int], int]:
+    """Pages of the whole corpus that hold each word of the items, and the number of pages.
+
+    The result has one row per item word (bounded by ITEMS_PER_BLOCK items), whatever the size of the corpus.
+    """
+    plain = F.split(F.regexp_replace(F.regexp_replace(F.lower(text), r"[\n\u2014\u2013]", " "), r"[^a-z0-9 ]", ""), " ")
+    wanted = F.array_intersect(plain, F.lit(vocabulary)) if vocabulary else F.array().cast("array<string>")
+    rows = documents.select(F.explode(F.concat(F.array(F.lit("")), wanted)).alias("w")).groupBy("w").count().collect()
+    counts = {r["w"]: r["count"] for r in rows}
+    return counts, counts.pop("", 0)
+
+
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", boxes: str = "boxes", columns: str = "n_columns") -> DataFrame:
     """(doc_id, item_id, words): every page that prints at least MIN_WORDS consecutive words of an item.
 
     Null and empty texts match nothing, neither do items shorter than MIN_WORDS. Repeated documents give one row per
-    pair and text copy of the same id only once. Pages are scanned row-locally; only the found pairs are shuffled.
+    pair and text copies of the same id count once. Pages are scanned row-locally; only the found pairs are shuffled.
     """
     held = items.where(F.col(item_text).isNotNull() & F.col(item_key).isNotNull()).select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t")).distinct()
     pages = documents.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias(key), text, F.col(f"{boxes}.x").alias("xs"), F.col(f"{boxes}.y").alias("ys"), F.col(f"{boxes}.w").alias("ws"), F.coalesce(F.col(columns), F.lit(1)).alias("n")
     )
     schema = pa.schema([(key, pa.int64()), (item_key, pa.int64()), ("words", pa.int32())])
+    corpus = documents.where(F.col(text).isNotNull())
     found = None
     # the query set comes to the driver block by block; toLocalIterator holds one partition at a time
     block: list[tuple[int, str]] = []
@@ -349,10 +426,11 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     blocks.append(block)
     for own in blocks:
         own.sort()
-        shared = documents.sparkSession.sparkContext.broadcast(own)
+        vocabulary = sorted({w for _, t in own for w in words_of(t.replace("\n", " "))})
+        shared = documents.sparkSession.sparkContext.broadcast((own, *page_counts(corpus, text, vocabulary)))
 
         def scan(batches, shared=shared):
-            index = build_index(shared.value)
+            index = build_index(*shared.value)
             for batch in batches:
                 keys, *rest = (c.to_pylist() for c in batch.columns)
                 hits = [(keys[p], int(index.ids[k]), n) for p, k, n in scan_pages([(t, x or [], y or [], w or [], n) for t, x, y, w, n in zip(*rest)], index)]
