@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docketry.llm import leakage, lookalikes
+from docketry.llm import leakage, lookalikes, places
 from docketry.session import table
 
 
+def p2_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct entry with the place it names, how it was found and how many incidents hold it."""
+    cities = table(spark, sf_dir, "incidents").where(F.col("city").isNotNull()).groupBy(F.col("city").alias("raw")).agg(F.count("*").alias("n_rows"))
+    return places.resolve_names(cities, table(spark, sf_dir, "gazetteer"), table(spark, sf_dir, "jurisdiction_crosswalk")).join(cities, "raw")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = table(spark, sf_dir, "gazetteer").select(F.col("canonical").alias("city")).distinct()
+    rows = table(spark, sf_dir, "incidents").where(F.col("city").isNotNull()).select("incident_id", "city").distinct().join(F.broadcast(listed), "city", "left_anti")
+    found = places.resolve_names(rows.select(F.col("city").alias("raw")), table(spark, sf_dir, "gazetteer"), table(spark, sf_dir, "jurisdiction_crosswalk"))
+    return rows.join(found.select(F.col("raw").alias("city"), "canonical"), "city").select("incident_id", "canonical").distinct()
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -20,5 +34,5 @@ def p10_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.normalise_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
+QUERIES = {"p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
 ORACLES: dict[str, str] = {}
