@@ -14,9 +14,9 @@ import functools
 import math
 import string
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ BLOCKS = (22, 21, 21)
 RADIUS = len(BLOCKS) - 1
 #: doc words an interposed advert or misplaced piece may have
 MAX_INTERPOSED = 60
-#: likeness at which a word between two standing neighbours still counts as the damaged item word
+#: likeness (0.55 or more) at which a word between two standing neighbours still counts as the damaged item word
 BADLY_DAMAGED = 0.55
 #: share of a passage's word weight that must be printed intact
 MIN_INTACT = 0.4
@@ -52,6 +52,8 @@ NEIGHBOURS_TELLING, NEIGHBOURS_ANY = 3, 7
 ITEMS_PER_BLOCK = 4096
 
 _DROP = str.maketrans({c: None for c in string.punctuation} | {c: None for c in "¬“”‘’«»£§©®°•·"} | {"—": " ", "–": " "})
+#: token that marks the end of a line while a page is one list of tokens; no word can be it
+LINE_END = "\x01"
 _OCR = (("vv", "w"), ("rn", "m"), ("cl", "d"), ("li", "h"), ("ii", "u"), ("0", "o"), ("1", "l"), ("5", "s"), ("8", "s"))
 
 
@@ -79,10 +81,12 @@ def reading_order(text: str, xs, ys, ws, n_columns: int) -> list[str]:
     lines = text.split("\n")
     if len(xs) != len(lines):
         return [p for line in lines for p in line.split("  ")]
+    xs, ys, ws = (np.asarray(v) for v in (xs, ys, ws))
     if n_columns <= 1:
-        if all(a <= b for a, b in zip(ys, ys[1:])):
+        if (ys[1:] >= ys[:-1]).all():
             return lines
         return [lines[i] for i in sorted(range(len(lines)), key=lambda i: (ys[i], i))]
+    xs, ys, ws = xs.tolist(), ys.tolist(), ws.tolist()
     left = min(xs)
     width = max(1.0, (max(x + w for x, w in zip(xs, ws)) - left) / n_columns)
     pieces = []
@@ -109,6 +113,9 @@ def alike(a: str, b: str) -> float:
     la, lb = len(a), len(b)
     if not la or not lb or abs(la - lb) > max(la, lb) * 0.45:
         return 0.0
+    shared = sum(min(a.count(c), b.count(c)) for c in set(a))
+    if shared < 0.55 * max(la, lb):  # no alignment can reach a likeness that is ever asked for
+        return 0.0
     row = list(range(lb + 1))
     for i in range(1, la + 1):
         last, row[0] = row[0], i
@@ -342,35 +349,32 @@ def scan_pages(pages, index: ItemIndex):
     """(page number, item number, words) over pages given as (text, xs, ys, ws, n_columns)."""
     for first in range(0, len(pages), PAGES_AT_ONCE):
         chunk = pages[first : first + PAGES_AT_ONCE]
-        number: dict[str, int] = {}
+        number: dict[str, int] = defaultdict(count().__next__)
+        number[LINE_END]  # is 0
         ids: list[int] = []
-        known, add = number.get, ids.append
-        ends: list[int] = []
-        lines_of = []
+        tokens_of, sizes = [], []
         for text, xs, ys, ws, n in chunk:
             pieces = "\n".join(reading_order(text, xs, ys, ws, n))
             if not pieces.isascii():
                 pieces = "".join(map(_fold_char, pieces))
-            lines = [x.split() for x in pieces.lower().translate(_DROP).split("\n")]
-            lines_of.append(lines)
-            for line in lines:
-                for w in line:
-                    k = known(w)
-                    if k is None:
-                        k = number[w] = len(number)
-                    add(k)
-            ends.append(len(ids))
-        if len(ids) < WINDOW:
+            tokens = pieces.lower().replace("\n", f" {LINE_END} ").translate(_DROP).split()
+            tokens_of.append(tokens)
+            sizes.append(len(tokens))
+            ids.extend(map(number.__getitem__, tokens))
+        marked = np.array(ids, np.int64)
+        word = marked != 0
+        flat = marked[word]
+        if len(flat) < WINDOW:
             continue
-        vectors = _vectors(list(number), index.weight)
-        flat = np.array(ids)
-        a, b = seeds(_prints(flat, vectors), index)
+        ends = np.concatenate([[0], np.cumsum(word)])[np.cumsum(sizes)]
+        number = dict(number)
+        a, b = seeds(_prints(flat, _vectors(list(number), index.weight)), index)
         if not len(a):
             continue
         stands = supported(flat, number, index, a, b)
         a, b = a[stands], b[stands]
         own = np.searchsorted(ends, a, "right")
-        inside = a + WINDOW <= np.array(ends)[own]
+        inside = a + WINDOW <= ends[own]
         a, b, own = a[inside], b[inside], own[inside]
         # overlapping windows on one diagonal are one stretch of text: its first seed stands for all
         item, diagonal = index.where[b, 0], index.where[b, 1] - a
@@ -384,8 +388,13 @@ def scan_pages(pages, index: ItemIndex):
         for p in np.unique(own):
             base = ends[p - 1] if p else 0
             mine = own == p
-            page = [w for line in lines_of[p] for w in line]
-            starts = list(accumulate((len(line) for line in lines_of[p]), initial=0))
+            page, starts = [], [0]
+            for t in tokens_of[p]:
+                if t == LINE_END:
+                    starts.append(len(page))
+                else:
+                    page.append(t)
+            starts.append(len(page))
             for k, n in find_in_page(page, starts, list(zip((a[mine] - base).tolist(), b[mine].tolist())), index):
                 yield first + int(p), k, n
 
@@ -402,6 +411,14 @@ def page_counts(documents: DataFrame, text: str, vocabulary: list[str]) -> tuple
     return counts, counts.pop("", 0)
 
 
+def _slices(lists: pa.ListArray) -> list[np.ndarray]:
+    """The lists of an Arrow column as slices of one array; a null list is empty, a null number is 0."""
+    flat = lists.values.fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = lists.offsets.to_numpy()
+    known = lists.is_valid().to_numpy(zero_copy_only=False)
+    return [flat[a:b] if k else flat[:0] for a, b, k in zip(offsets, offsets[1:], known)]
+
+
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", boxes: str = "boxes", columns: str = "n_columns") -> DataFrame:
     """(doc_id, item_id, words): every page that prints at least MIN_WORDS consecutive words of an item.
 
@@ -432,8 +449,9 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         def scan(batches, shared=shared):
             index = build_index(*shared.value)
             for batch in batches:
-                keys, *rest = (c.to_pylist() for c in batch.columns)
-                hits = [(keys[p], int(index.ids[k]), n) for p, k, n in scan_pages([(t, x or [], y or [], w or [], n) for t, x, y, w, n in zip(*rest)], index)]
+                keys, texts, n_columns = (batch.column(i).to_pylist() for i in (0, 1, 5))
+                places = [_slices(batch.column(i)) for i in (2, 3, 4)]
+                hits = [(keys[p], int(index.ids[k]), n) for p, k, n in scan_pages(list(zip(texts, *places, n_columns)), index)]
                 columns = list(zip(*hits)) if hits else [[], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
