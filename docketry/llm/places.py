@@ -16,7 +16,7 @@ from docketry.llm.ngrams import similar
 
 NONE = "(none)"
 #: cosine below which a pair is no candidate
-CANDIDATE = 0.3
+CANDIDATE = 0.1
 #: edit similarity a match must have, and its lead over the next canonical name
 ACCEPT, MARGIN = 0.62, 0.08
 
@@ -59,8 +59,8 @@ def normal_name(text: Column) -> Column:
     name = F.regexp_replace(name, r"^" + _words(FRAMES_BEFORE) + r"\s+", "")
     name = F.regexp_replace(name, r"^([A-Z]+),\s*([A-Z.]+)$", "$2 $1")
     name = F.trim(F.regexp_replace(name, r"[^A-Z]+", " "))
-    # letters set apart are one word: up to the next run of two or more letters
-    name = F.regexp_replace(name, r"(?<=(?:^| )[A-Z]) (?=[A-Z](?: |$))|(?<=(?:^| )[A-Z] [A-Z]) (?=[A-Z])", " ")
+    # letters set apart ("D U N M ERE") are one word
+    name = F.when(name.rlike(r"^[A-Z] [A-Z] "), F.regexp_replace(name, " ", "")).otherwise(name)
     short = F.create_map(*[F.lit(x) for pair in SHORT_WORDS.items() for x in pair])
     name = F.array_join(F.transform(F.split(name, " "), lambda w: F.coalesce(short[w], w)), " ")
     return F.regexp_replace(name, r"(?<=[A-Z]) " + _words(FRAMES_AFTER) + "$", "")
