@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docketry.lineage import cut
 from docketry.llm.ngrams import similar
 
 NONE = "(none)"
@@ -126,8 +127,8 @@ def resolve_names(entries: DataFrame, gazetteer: DataFrame, crosswalk: DataFrame
 
     Null entries are left out. A zip counts only where no name stands beside it.
     """
-    named = entries.select("raw").where(F.col("raw").isNotNull()).distinct().withColumns({"name": normal_name(F.col("raw")), "zip": zip_in(F.col("raw"))}).withColumn("text", squashed(F.col("name")))
-    forms = reference_forms(gazetteer, crosswalk)
+    named = cut(entries.select("raw").where(F.col("raw").isNotNull()).distinct().withColumns({"name": normal_name(F.col("raw")), "zip": zip_in(F.col("raw"))}).withColumn("text", squashed(F.col("name"))))
+    forms = cut(reference_forms(gazetteer, crosswalk))
     texts = named.where(F.length("text") > 0).select("text").distinct()
     exact = texts.join(forms.withColumnRenamed("form", "text"), "text").select("text", "canonical", F.lit("exact").alias("method"), F.lit(1.0).alias("score"))
     open_texts = texts.join(exact, "text", "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import leakage, lookalikes, places
+from docketry.llm import addresses, leakage, lookalikes, places
 from docketry.session import table
 
 
@@ -22,6 +22,21 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(found.select(F.col("raw").alias("city"), "canonical"), "city").select("incident_id", "canonical").distinct()
 
 
+def address_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents (left) and person records (right) as ``id, source, address, zip, city``."""
+    incidents = table(spark, sf_dir, "incidents").select(F.col("incident_id").alias("id"), F.lit("left").alias("source"), "address", "zip", "city").distinct()
+    found = places.resolve_names(incidents.select(F.col("city").alias("raw")), table(spark, sf_dir, "gazetteer"), table(spark, sf_dir, "jurisdiction_crosswalk"))
+    named = found.where(F.col("canonical") != places.NONE).select(F.col("raw").alias("city"), "canonical")
+    left = incidents.join(named, "city", "left").select("id", "source", "address", "zip", F.col("canonical").alias("city"))
+    people = table(spark, sf_dir, "synth_a").unionByName(table(spark, sf_dir, "synth_b"))
+    return left.unionByName(people.select(F.col("rec_id").alias("id"), F.lit("right").alias("source"), "address", "zip", F.lit(None).cast("string").alias("city")))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = addresses.same_building(address_records(spark, sf_dir), table(spark, sf_dir, "gazetteer"))
+    return pairs.select(F.col("left").alias("incident_id"), F.col("right").alias("rec_id"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -34,5 +49,5 @@ def p10_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.normalise_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
+QUERIES = {"p6_found": p6_found, "p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
 ORACLES: dict[str, str] = {}
