@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.lineage import cut
+
 SIZES = (2, 3)
 
 
@@ -52,9 +54,10 @@ def similar(values: DataFrame, references: DataFrame, threshold: float) -> DataF
     prefix; there is no cap on candidates.
     """
     left, right = values.select("text").distinct(), references.select("text").distinct()
+    # vectors are read twice each; cutting them keeps the plan small and computes them once
     weights = gram_weights(left, right)
-    a = vectors(left, weights, threshold)
-    b = vectors(right, weights, threshold).select(F.col("text").alias("reference"), F.col("grams").alias("r_grams"), F.col("norm").alias("r_norm"))
+    a = cut(vectors(left, weights, threshold))
+    b = cut(vectors(right, weights, threshold)).select(F.col("text").alias("reference"), F.col("grams").alias("r_grams"), F.col("norm").alias("r_norm"))
     met = a.select("text", F.explode("prefix").alias("gram")).join(b.select("reference", F.explode("r_grams").alias("gram")), "gram").select("text", "reference").distinct()
     full = met.join(a.select("text", F.map_from_arrays("grams", "w").alias("m"), "norm"), "text").join(b, "reference")
     dot = F.aggregate("r_grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.col("m")[g] * F.col("m")[g], F.lit(0.0)))

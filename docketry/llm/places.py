@@ -139,7 +139,7 @@ def resolve_names(entries: DataFrame, gazetteer: DataFrame, crosswalk: DataFrame
     lead = Window.partitionBy("text").orderBy(F.col("s.score").desc(), F.col("s.cosine").desc(), "canonical")
     top = best.withColumns({"n": F.row_number().over(lead), "second": F.lead("s.score").over(lead)}).where(F.col("n") == 1)
     fuzzy = top.where((F.col("s.score") >= ACCEPT) & (F.col("s.score") - F.coalesce("second", F.lit(0.0)) >= MARGIN)).select("text", "canonical", F.lit("fuzzy").alias("method"), F.col("s.score").alias("score"))
-    decided = named.join(exact.unionByName(fuzzy), "text", "left")
+    decided = named.join(cut(exact.unionByName(fuzzy)), "text", "left")
     by_zip = decided.join(F.broadcast(unique_zips(gazetteer).withColumnRenamed("canonical", "z")), "zip", "left")
     bare = (F.length("text") == 0) & F.col("z").isNotNull()
     return by_zip.select(
