@@ -86,10 +86,8 @@ def read_address(text: str, cities: tuple[tuple[str, str], ...]) -> tuple[str |
         lead_unit = re.match(r"\s*(?:" + _UNIT.pattern + r")\s*,", stripped)
         if lead_unit:
             stripped = stripped[lead_unit.end() :]
-            stripped = _UNIT.sub(" ", stripped)
-        else:
-            worded = re.sub(r"\b(?:APT|APARTMENT|UNIT|STE|SUITE|RM|ROOM|LOT)\b\s*#?\s*[A-Z0-9-]+", " ", stripped)
-            stripped = worded
+        # without a leading house number a bare sign stands before it ("SUMAC RD, #6680"); only worded units go
+        stripped = re.sub(r"\b(?:APT|APARTMENT|UNIT|STE|SUITE|RM|ROOM|LOT)\b\s*#?\s*[A-Z0-9-]+", " ", stripped)
     number, rest = _numbered(stripped)
     if number is None:
         return None
@@ -113,6 +111,12 @@ def read_address(text: str, cities: tuple[tuple[str, str], ...]) -> tuple[str |
     return number.lstrip("0") or "0", direction, "".join(words), kind, city
 
 
+def city_spellings(gazetteer: DataFrame) -> tuple[tuple[str, str], ...]:
+    """(spelling, canonical) of the reference list, longest first; the list is a fixed table of a few dozen rows."""
+    rows = gazetteer.select("canonical", F.explode(F.array("canonical", "alias")).alias("raw")).where(F.col("raw").isNotNull())
+    return tuple(sorted(((r["raw"].upper(), r["canonical"]) for r in rows.toLocalIterator()), key=lambda x: (-len(x[0]), x)))
+
+
 def parse(addresses: DataFrame, cities: tuple[tuple[str, str], ...]) -> DataFrame:
     """Distinct ``address`` -> its parts; blocks, crossings and unnumbered texts drop out."""
 
@@ -166,8 +170,7 @@ def same_building(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
     blocks and crossings match nothing; repeated rows count once. Records are first folded to distinct readings, so an
     address holding a tenth of all rows is one reading until the pairs are written out.
     """
-    spelled = [(r["raw"].upper(), r["canonical"]) for r in gazetteer.select("canonical", F.explode(F.array("canonical", "alias")).alias("raw")).where("raw is not null").toLocalIterator()]
-    cities = tuple(sorted(spelled, key=lambda x: (-len(x[0]), x)))
+    cities = city_spellings(gazetteer)
     # each is read several times below; without the cut every reader would parse and compare again
     parsed = cut(parse(records, cities))
     names = cut(street_names(parsed))

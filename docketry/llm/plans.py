@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import addresses, leakage, lookalikes, places
+from docketry.llm import addresses, leakage, lookalikes, matching, places
 from docketry.session import table
 
 
@@ -32,6 +32,17 @@ def address_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.unionByName(people.select(F.col("rec_id").alias("id"), F.lit("right").alias("source"), "address", "zip", F.lit(None).cast("string").alias("city")))
 
 
+def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair of records, within and across the two sources, with similarities and confidence."""
+    people = [table(spark, sf_dir, name).withColumn("source", F.lit(name)) for name in ("synth_a", "synth_b")]
+    return matching.match(people[0].unionByName(people[1]), addresses.city_spellings(table(spark, sf_dir, "gazetteer")))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    across = p3_pairs(spark, sf_dir).where((F.col("a_source") == "synth_a") & (F.col("b_source") == "synth_b") & (F.col("confidence") >= 0.5))
+    return across.select(F.col("a_id").alias("rec_id_a"), F.col("b_id").alias("rec_id_b")).distinct()
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = addresses.same_building(address_records(spark, sf_dir), table(spark, sf_dir, "gazetteer"))
     return pairs.select(F.col("left").alias("incident_id"), F.col("right").alias("rec_id"))
@@ -49,5 +60,5 @@ def p10_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.normalise_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p6_found": p6_found, "p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
+QUERIES = {"p3_pairs": p3_pairs, "p3_found": p3_found, "p6_found": p6_found, "p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
 ORACLES: dict[str, str] = {}
