@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import addresses, leakage, lookalikes, matching, places
+from docketry.llm import addresses, leakage, lookalikes, matching, mixture, places
 from docketry.session import table
 
 
@@ -52,6 +52,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.actual_shares(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.lookalike_lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no")
 
@@ -60,5 +68,5 @@ def p10_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.normalise_text(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p3_pairs": p3_pairs, "p3_found": p3_found, "p6_found": p6_found, "p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p10_found": p10_found, "p10_text": p10_text}
+QUERIES = {"p3_pairs": p3_pairs, "p3_found": p3_found, "p6_found": p6_found, "p2_crosswalk": p2_crosswalk, "p2_found": p2_found, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_text": p10_text}
 ORACLES: dict[str, str] = {}
