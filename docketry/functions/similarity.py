@@ -26,16 +26,45 @@ def indel_ratio(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * lcs_length(a, b) / total)
 
 
-def token_set_ratio(a: Column, b: Column) -> Column:
+def lcs_of(a: str, b: str) -> int:
+    """Longest common subsequence by bit vectors: one integer operation per letter of ``b``."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for c in b:
+        u = v & places.get(c, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - v.bit_count()
+
+
+def ratio_of(a: str, b: str) -> float:
+    return 100.0 if not a and not b else 200.0 * lcs_of(a, b) / (len(a) + len(b))
+
+
+@functools.lru_cache(maxsize=500_000)
+def token_set_ratio_of(a: str, b: str) -> float:
     """Best indel ratio among the shared words and either side's shared words with its rest; 0 where either is empty."""
-    words = lambda c: F.filter(F.array_distinct(F.split(c, r"\s+")), lambda w: w != "")
-    wa, wb = words(a), words(b)
-    join = lambda *parts: F.trim(F.concat_ws(" ", *[F.array_join(F.array_sort(p), " ") for p in parts]))
-    both = F.array_intersect(wa, wb)
-    common, left, right = join(both), join(both, F.array_except(wa, wb)), join(both, F.array_except(wb, wa))
-    subset = (F.size(both) > 0) & ((F.size(F.array_except(wa, wb)) == 0) | (F.size(F.array_except(wb, wa)) == 0))
-    best = F.greatest(F.when(F.size(both) > 0, F.greatest(indel_ratio(common, left), indel_ratio(common, right))).otherwise(F.lit(0.0)), indel_ratio(left, right))
-    return F.when((F.size(wa) == 0) | (F.size(wb) == 0), F.lit(0.0)).when(subset, F.lit(100.0)).otherwise(best)
+    wa, wb = set(a.split()), set(b.split())
+    if not wa or not wb:
+        return 0.0
+    both, left, right = wa & wb, wa - wb, wb - wa
+    if both and (not left or not right):
+        return 100.0
+    text = lambda *parts: " ".join(w for p in parts for w in sorted(p))
+    x, y = text(both, left), text(both, right)
+    best = ratio_of(x, y)
+    return max(best, ratio_of(text(both), x), ratio_of(text(both), y)) if both else best
+
+
+def token_set_ratio(a: Column, b: Column) -> Column:
+    """``token_set_ratio_of`` by Arrow batches; null where either side is null."""
+
+    def score(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else token_set_ratio_of(p, q) for p, q in zip(x, y)], dtype="float64")
+
+    return F.pandas_udf(score, "double")(a, b)
 
 
 @functools.lru_cache(maxsize=500_000)
