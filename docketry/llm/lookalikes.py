@@ -130,7 +130,7 @@ def normal_line(line: str, page_script: str = "LATIN") -> str:
     text = unicodedata.normalize("NFC", "".join(map(usual_form, line)))
     if text.isascii():
         return text
-    found = list(_WORD.finditer(text))
+    found = [m for m in _WORD.finditer(text) if any(c.isalpha() for c in m[0])]  # a fraction sign is no word
     scripts = [token_scripts(m[0]) for m in found]
     out, at = [], 0
     for k, (m, (own, whole)) in enumerate(zip(found, scripts)):
