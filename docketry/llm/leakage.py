@@ -327,12 +327,13 @@ def find_in_page(page: list[str], lines: list[int], pairs: list[tuple[int, int]]
     for k, places in by_item.items():
         item, done, best = index.words[k], set(), 0
         for j, i in places:
-            if (i, j) in done:
+            # a fingerprint knows no order: the same words turned round are no stretch of the item
+            if (i, j) in done or sum(same_word(a, b, index.weight) for a, b in zip(item[i : i + WINDOW], page[j : j + WINDOW])) < WINDOW - 1:
                 continue
             path = passage(item, page, lines, index.weight, i, j)
-            done.update((a, b) for a, b, _ in path)
             if not path:
                 continue
+            done.update((a, b) for a, b, s in path if s >= 0.99)
             weight = [index.weight[item[a]] for a, _, _ in path]
             intact = sum(w for w, (_, _, s) in zip(weight, path) if s >= 0.99) / sum(weight)
             if intact >= MIN_INTACT:
