@@ -125,7 +125,9 @@ def parse(addresses: DataFrame, cities: tuple[tuple[str, str], ...]) -> DataFram
             rows = [(a, *r) for a in pdf["address"] if (r := read_address(a, cities)) is not None]
             yield pd.DataFrame(rows, columns=["address", "number", "direction", "street", "type", "city"], dtype=object)
 
-    return addresses.select("address").where(F.col("address").isNotNull()).distinct().mapInPandas(read, "address string, " + SCHEMA)
+    # a stated number of partitions: adaptive execution would merge the small texts into too few tasks for the reading
+    tasks = int(addresses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return addresses.select("address").where(F.col("address").isNotNull()).distinct().repartition(tasks, "address").mapInPandas(read, "address string, " + SCHEMA)
 
 
 def street_names(parsed: DataFrame) -> DataFrame:
@@ -139,7 +141,9 @@ def street_names(parsed: DataFrame) -> DataFrame:
     pairs = similar(words.select(F.col("street").alias("text")), words.where(F.col("support") >= RATIO).select(F.col("street").alias("text")), CANDIDATE)
     pairs = pairs.where(F.col("text") != F.col("reference"))
     with_counts = pairs.join(words.select(F.col("street").alias("text"), F.col("support").alias("own")), "text").join(words.select(F.col("street").alias("reference"), "support"), "reference")
-    fit = with_counts.where(F.col("support") >= RATIO * F.col("own")).withColumn("edit", edit_similarity("text", "reference")).where(F.col("edit") >= ACCEPT)
+    tasks = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated: the rows are few bytes but much work
+    frequent = with_counts.where(F.col("support") >= RATIO * F.col("own")).repartition(tasks)
+    fit = frequent.withColumn("edit", edit_similarity("text", "reference", ACCEPT)).where(F.col("edit") >= ACCEPT)
     best = fit.groupBy("text").agg(F.max(F.struct("edit", "cosine", "support", "reference")).alias("b"))
     return counted.join(best.select(F.col("text").alias("street"), F.col("b.reference").alias("model")), "street", "left").select("street", F.coalesce("model", "street").alias("name"))
 

@@ -58,7 +58,8 @@ def similar(values: DataFrame, references: DataFrame, threshold: float) -> DataF
     weights = gram_weights(left, right)
     a = cut(vectors(left, weights, threshold))
     b = cut(vectors(right, weights, threshold)).select(F.col("text").alias("reference"), F.col("grams").alias("r_grams"), F.col("norm").alias("r_norm"))
-    met = a.select("text", F.explode("prefix").alias("gram")).join(b.select("reference", F.explode("r_grams").alias("gram")), "gram").select("text", "reference").distinct()
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, or adaptive execution merges the narrow pairs into too few tasks
+    met = a.select("text", F.explode("prefix").alias("gram")).join(b.select("reference", F.explode("r_grams").alias("gram")), "gram").select("text", "reference").distinct().repartition(tasks, "text")
     full = met.join(a.select("text", F.map_from_arrays("grams", "w").alias("m"), "norm"), "text").join(b, "reference")
     dot = F.aggregate("r_grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.col("m")[g] * F.col("m")[g], F.lit(0.0)))
     return full.select("text", "reference", (dot / (F.col("norm") * F.col("r_norm"))).alias("cosine")).where(F.col("cosine") >= threshold)

@@ -90,11 +90,14 @@ def osa(a: str, b: str) -> float:
     return 1 - last[lb] / max(la, lb)
 
 
-def edit_similarity(a: str, b: str) -> Column:
-    """``osa`` of two columns, by Arrow batches."""
+def edit_similarity(a: str, b: str, least: float = 0.0) -> Column:
+    """``osa`` of two columns, by Arrow batches; 0 where the letters in common show that it is below ``least``."""
+
+    def hopeless(p: str, q: str) -> bool:
+        return least > 0 and sum(min(p.count(c), q.count(c)) for c in set(p)) < least * max(len(p), len(q))
 
     def likeness(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([osa(p, q) for p, q in zip(x, y)], dtype="float64")
+        return pd.Series([0.0 if hopeless(p, q) else osa(p, q) for p, q in zip(x, y)], dtype="float64")
 
     return F.pandas_udf(likeness, "double")(a, b)
 
