@@ -21,17 +21,23 @@ class SnapshotDiff:
     restatements: DataFrame
 
 
+def _fold(df: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """One row per key: the least of its copies, so the choice does not depend on partitions."""
+    rest = [c for c in dict.fromkeys(["date_reported", "offense_code", *tracked]) if c in df.columns and c != key]
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str = "incident_id", tracked: Sequence[str] = TRACKED, overlap_from=None) -> SnapshotDiff:
     """Late additions, removals, changed fields (null-safe) and restated monthly counts.
 
     Rows without date are left out on both sides; new rows beyond the old snapshot's last date are no late additions.
-    Keys are taken as unique: repeated rows are folded first.
+    Repeated keys count once, with the least of their rows.
     """
     start = F.lit(True) if overlap_from is None else F.col("date_reported") >= F.lit(overlap_from)
-    before = old.where(F.col("date_reported").isNotNull() & start).dropDuplicates([key])
+    before = _fold(old.where(F.col("date_reported").isNotNull() & start), key, tracked)
     horizon = F.broadcast(old.agg(F.max("date_reported").alias("_horizon")))  # one row
-    after = new.where(F.col("date_reported").isNotNull() & start).dropDuplicates([key]).crossJoin(horizon).where(F.col("date_reported") <= F.col("_horizon")).drop("_horizon")
-    shared = [c for c in tracked if c in old.columns and c in new.columns]
+    after = _fold(new.where(F.col("date_reported").isNotNull() & start), key, tracked).crossJoin(horizon).where(F.col("date_reported") <= F.col("_horizon")).drop("_horizon")
+    shared = [c for c in tracked if c in before.columns and c in after.columns]
     both = before.select(F.col(key), *[F.col(c).alias(f"o_{c}") for c in shared]).join(after.select(F.col(key), *[F.col(c).alias(f"n_{c}") for c in shared]), key)
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"o_{c}").cast("string").alias("old"), F.col(f"n_{c}").cast("string").alias("new")) for c in shared])
     changed = both.select(key, F.inline(cells)).where(~F.col("old").eqNullSafe(F.col("new")))

@@ -204,8 +204,8 @@ _MONTHLY = f"""SELECT date_trunc('month', date_reported)::DATE AS month, count(*
     GROUP BY 1, 4 HAVING last_day(date_trunc('month', min(date_reported))::DATE) <= (SELECT max(date_reported)::DATE FROM {_LAST})"""
 _ERRORS = f"""SELECT DISTINCT coalesce(incident_id, '<null>') AS k FROM (SELECT *, count(*) OVER (PARTITION BY incident_id) AS c FROM {_LAST})
     WHERE incident_id IS NULL OR date_reported IS NULL OR offense_code IS NULL OR (incident_id IS NOT NULL AND c > 1) OR date_reported > TIMESTAMP '2026-10-02' OR date_reported < TIMESTAMP '2000-01-01'"""
-_DIFF = f"""o AS (SELECT * FROM {_BEFORE} WHERE date_reported IS NOT NULL QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY offense_code) = 1),
-    n AS (SELECT * FROM {_LAST} WHERE date_reported <= (SELECT max(date_reported) FROM {_BEFORE}) QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY offense_code) = 1)"""
+_DIFF = f"""o AS (SELECT * FROM {_BEFORE} WHERE date_reported IS NOT NULL QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY date_reported NULLS FIRST, offense_code NULLS FIRST, clearance_status NULLS FIRST) = 1),
+    n AS (SELECT * FROM {_LAST} WHERE date_reported <= (SELECT max(date_reported) FROM {_BEFORE}) QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY date_reported NULLS FIRST, offense_code NULLS FIRST, clearance_status NULLS FIRST) = 1)"""
 
 ORACLES = {
     "map_columns_orders": "SELECT o_orderkey AS incident_id, o_orderdate::DATE AS date_reported, o_orderstatus AS offense_code FROM orders",
@@ -237,6 +237,12 @@ ORACLES = {
     "clean_incidents": f"SELECT incident_id, offense_code FROM {_LAST} WHERE coalesce(incident_id, '<null>') NOT IN ({_ERRORS})",
     "snapshot_added": f"WITH {_DIFF} SELECT incident_id FROM n ANTI JOIN o USING (incident_id)",
     "snapshot_removed": f"WITH {_DIFF} SELECT incident_id FROM o ANTI JOIN n USING (incident_id)",
+    "restatements": f"""WITH {_DIFF}, a AS (SELECT date_trunc('month', date_reported)::DATE AS month, {_GROUP} AS "group", count(*) AS old FROM o GROUP BY 1, 2), b AS (SELECT date_trunc('month', date_reported)::DATE AS month, {_GROUP} AS "group", count(*) AS new FROM n GROUP BY 1, 2)
+        SELECT month, "group", coalesce(old, 0) AS old, coalesce(new, 0) AS new, coalesce(new, 0) - coalesce(old, 0) AS delta FROM a FULL JOIN b USING (month, "group")""",
+    "diff_changed_fields": f"""WITH {_DIFF}, j AS (SELECT o.incident_id, strftime(o.date_reported, '%Y-%m-%d %H:%M:%S') AS a1, strftime(n.date_reported, '%Y-%m-%d %H:%M:%S') AS a2, o.offense_code AS b1, n.offense_code AS b2, o.clearance_status AS c1, n.clearance_status AS c2 FROM o JOIN n USING (incident_id))
+        SELECT incident_id, 'date_reported' AS field, a1 AS old, a2 AS new FROM j WHERE a1 IS DISTINCT FROM a2 UNION ALL SELECT incident_id, 'offense_code', b1, b2 FROM j WHERE b1 IS DISTINCT FROM b2 UNION ALL SELECT incident_id, 'clearance_status', c1, c2 FROM j WHERE c1 IS DISTINCT FROM c2""",
+    "normalized_people": """WITH s AS (SELECT rec_id, string_split(trim(regexp_replace(regexp_replace(upper(replace(replace(coalesce(last_name, ''), '-', ' '), '''', '')), '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')), ' ') AS w FROM synth_a)
+        SELECT rec_id, array_to_string(list_filter(w, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS name, coalesce(list_filter(w, lambda x: x IN ('JR','SR','II','III','IV'))[1], '') AS suffix FROM s""",
     "normalized_agencies": """WITH s AS (SELECT trim(regexp_replace(regexp_replace(upper(replace(replace(coalesce(agency, ''), '''', ''), '-', ' ')), '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')) AS a FROM incidents),
         e AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(a,
         '\\bSHERIFF OFFICE\\b', 'SHERIFFS OFFICE', 'g'), '\\bPOLICE DEPT\\b', 'POLICE DEPARTMENT', 'g'), '\\bDEPT\\b', 'DEPARTMENT', 'g'), '\\bCNTY\\b', 'COUNTY', 'g'), '\\bUNIV\\b', 'UNIVERSITY', 'g'),
