@@ -137,7 +137,9 @@ def resolve_names(entries: DataFrame, gazetteer: DataFrame, crosswalk: DataFrame
     open_texts = texts.join(exact, "text", "left_anti")
     usable = forms.where((F.col("canonical") != NONE) | (F.length("form") >= 4))
     pairs = similar(open_texts.where(F.length("text") >= 3), usable.select(F.col("form").alias("text")), CANDIDATE)
-    scored = pairs.withColumn("score", edit_similarity("text", "reference")).join(usable.select(F.col("form").alias("reference"), "canonical"), "reference")
+    # a score below ACCEPT - MARGIN changes neither acceptance nor margin; tasks are stated, or the few bytes of much work meet in one
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = pairs.repartition(tasks).withColumn("score", edit_similarity("text", "reference", ACCEPT - MARGIN)).join(usable.select(F.col("form").alias("reference"), "canonical"), "reference")
     best = scored.groupBy("text", "canonical").agg(F.max(F.struct("score", "cosine")).alias("s"))
     lead = Window.partitionBy("text").orderBy(F.col("s.score").desc(), F.col("s.cosine").desc(), "canonical")
     top = best.withColumns({"n": F.row_number().over(lead), "second": F.lead("s.score").over(lead)}).where(F.col("n") == 1)
