@@ -139,8 +139,9 @@ def normal_line(line: str, page_script: str = "LATIN") -> str:
             if not _two_words(token):
                 token = respell(token, _pick(token, own, whole))
         elif len(whole) > 1 and page_script not in own and not (own == {"LATIN"} and _NUMERAL.match(token)):
-            near = [scripts[i][0] for i in (k - 1, k + 1) if 0 <= i < len(found) and len(scripts[i][1]) == 1]
-            around = set().union(*near) if near else {page_script}
+            # a wide gap parts the lines of two columns, so what stands behind it is no neighbour
+            near = [scripts[i][0] for i in (k - 1, k + 1) if 0 <= i < len(found) and len(scripts[i][1]) == 1 and "  " not in text[min(found[i].end(), m.end()) : max(found[i].start(), m.start())]]
+            around = set().union(*near)
             if len(around) == 1 and not around & own and around <= whole:
                 token = respell(token, next(iter(around)))
         out += [text[at : m.start()], token]

@@ -23,7 +23,7 @@ def gazetteer(spark):
 @pytest.mark.parametrize("line, normal", [
     ("ｅｖｅｎｉｎｇ．", "evening."), ("inﬁrmary", "infirmary"), ("Ⅻ", "XII"), ("hàrvest", "hàrvest"), ("fo​urteen", "fourteen"), ("any­price", "anyprice"), ("the fair", "the fair"),
     ("весь‑же", "весь-же"), ("gеnеrоuѕ", "generous"), ("Βrücke", "Brücke"), ("he saw а man", "he saw a man"), ("a\tb", "a b"), ("нашёл слово словo", "нашёл слово слово"),
-    ("— “Дружба” —", "— “Дружба” —"), ("ΠΟΎΛΗΣΕ XII", "ΠΟΎΛΗΣΕ XII"), ("Straße être", "Straße être"), ("Wäch¬", "Wäch¬"), ("Tue8day 1n", "Tue8day 1n"), ("ПожарXII", "ПожарXII"), ("", ""), ("½ … ™", "½ … ™"), ("Mossop. — “Дружба” — A", "Mossop. — “Дружба” — A"), ("by Міѕѕ Kettleby", "by Miss Kettleby"),
+    ("— “Дружба” —", "— “Дружба” —"), ("ΠΟΎΛΗΣΕ XII", "ΠΟΎΛΗΣΕ XII"), ("Straße être", "Straße être"), ("Wäch¬", "Wäch¬"), ("Tue8day 1n", "Tue8day 1n"), ("ПожарXII", "ПожарXII"), ("", ""), ("½ … ™", "½ … ™"), ("Mossop. — “Дружба” — A", "Mossop. — “Дружба” — A"), ("by Міѕѕ Kettleby", "by Miss Kettleby"), ("кузнец. Весь-же  HATS! HATS!", "кузнец. Весь-же  HATS! HATS!"),
 ])
 def test_normal_line(line, normal):
     assert lookalikes.normal_line(line) == normal
