@@ -30,12 +30,6 @@ from docketry.llm.lookalikes import TO_LATIN, usual_form
 WINDOW = 3
 #: consecutive item words a page must print
 MIN_WORDS = 12
-#: windows of each MIN_WORDS stretch that are indexed at least, most telling first
-PER_STRETCH = 5
-#: a word on at most this share of all pages is telling; every window that holds one is indexed
-TELLING_SHARE = 0.05
-#: weight of such a word
-TELLING = 1 + math.log(1 / TELLING_SHARE) / 8
 #: bits of the three blocks; distance below the number of blocks is guaranteed
 BLOCKS = (22, 21, 21)
 RADIUS = len(BLOCKS) - 1
@@ -45,9 +39,6 @@ MAX_INTERPOSED = 60
 BADLY_DAMAGED = 0.55
 #: share of a passage's word weight that must be printed intact
 MIN_INTACT = 0.4
-#: further words about a seed that must be the item's, within one word of its diagonal: so many with a telling one
-#: among them, or so many of any kind
-NEIGHBOURS_TELLING, NEIGHBOURS_ANY = 3, 7
 #: items indexed at once
 ITEMS_PER_BLOCK = 4096
 
@@ -141,6 +132,9 @@ class ItemIndex:
     order: list[np.ndarray]
     keys: list[np.ndarray]
     seen: list[np.ndarray]
+    vocabulary: list[str]
+    flat: np.ndarray  # the items' words as places in the vocabulary, between runs of len(vocabulary)
+    offset: np.ndarray  # where each item begins in flat
 
 
 def _vectors(vocabulary: list[str], weight: dict[str, float], other: float = 1.0) -> np.ndarray:
@@ -163,7 +157,7 @@ def _block(prints: np.ndarray, k: int) -> np.ndarray:
 
 
 def build_index(items: list[tuple[int, str]], pages_with: dict[str, int], n_pages: int) -> ItemIndex:
-    """Index of the telling windows, and of at least PER_STRETCH windows of each MIN_WORDS stretch of an item.
+    """Index of every window of the items of at least MIN_WORDS words.
 
     ``pages_with`` counts, for the items' words, the pages of the whole corpus that hold them.
     """
@@ -175,17 +169,17 @@ def build_index(items: list[tuple[int, str]], pages_with: dict[str, int], n_page
     number = {w: n for n, w in enumerate(vocabulary)}
     vectors = _vectors(vocabulary, weight) if vocabulary else np.zeros((0, 64), np.int16)
     prints, where = [], []
+    pad = np.full(MIN_WORDS, len(vocabulary), np.int64)
+    spread, offset, length = [pad], [], len(pad)
     for k, ws in enumerate(words):
+        own = np.array([number[w] for w in ws], np.int64)
+        offset.append(length)
+        spread += [own, pad]
+        length += len(own) + len(pad)
         if len(ws) < MIN_WORDS:
             continue
-        gains = [sum(weight[w] for w in ws[p : p + WINDOW]) for p in range(len(ws) - WINDOW + 1)]
-        keep = {p for p in range(len(gains)) if max(weight[w] for w in ws[p : p + WINDOW]) >= TELLING}
-        for start in range(len(ws) - MIN_WORDS + 1):
-            stretch = range(start, start + MIN_WORDS - WINDOW + 1)
-            if (missing := PER_STRETCH - sum(p in keep for p in stretch)) > 0:
-                keep.update(sorted((p for p in stretch if p not in keep), key=lambda p: -gains[p])[:missing])
-        at = np.array(sorted(keep))
-        prints.append(_prints(np.array([number[w] for w in ws]), vectors)[at])
+        at = np.arange(len(ws) - WINDOW + 1)
+        prints.append(_prints(own, vectors))
         where.append(np.stack([np.full(len(at), k), at], axis=1))
     flat = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
     place = np.concatenate(where) if where else np.zeros((0, 2), np.int64)
@@ -196,7 +190,7 @@ def build_index(items: list[tuple[int, str]], pages_with: dict[str, int], n_page
         mask = np.zeros(1 << bits, bool)
         mask[keys[k]] = True
         seen.append(mask)
-    return ItemIndex(ids, words, weight, flat, place, order, keys, seen)
+    return ItemIndex(ids, words, weight, flat, place, order, keys, seen, vocabulary, np.concatenate(spread), np.array(offset, np.int64))
 
 
 def seeds(prints: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray]:
@@ -209,38 +203,161 @@ def seeds(prints: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray]
         n = hi - lo
         a = np.repeat(at, n)
         b = index.order[k][np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-        near = np.bitwise_count(prints[a] ^ index.prints[b]) <= RADIUS
+        apart = prints[a] ^ index.prints[b]
+        near = np.bitwise_count(apart) <= RADIUS
+        for earlier in range(k):  # found there already
+            near &= _block(apart, earlier) != 0
         left.append(a[near])
         right.append(b[near])
-    both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
-    return both[0], both[1]
+    return np.concatenate(left), np.concatenate(right)
 
 
-def supported(ids: np.ndarray, number: dict[str, int], index: ItemIndex, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which seeds have enough further item words about them.
+@functools.lru_cache(maxsize=500_000)
+def _shape(word: str) -> tuple[int, int, int, int, int, int]:
+    """Length and letters of a word after undoing usual misreadings, as compared by ``alike``, and its end letters.
 
-    A passage of MIN_WORDS has nine further words; an advert or broken word within it moves those beyond it off the
-    diagonal, but then the longer side has seeds of its own.
+    Letters are bits for their first and second occurrence and a count of everything beyond.
     """
-    reach = MIN_WORDS - WINDOW
-    pad = np.full(reach + 2, -2, np.int64)
-    flat, rare, offset, at = [pad], [pad == 0], [], len(pad)
-    for ws in index.words:
-        offset.append(at)
-        flat += [np.array([number.get(w, -2) for w in ws], np.int64), pad]
-        rare += [np.array([index.weight[w] >= TELLING for w in ws], bool), pad == 0]
-        at += len(ws) + len(pad)
-    item, telling = np.concatenate(flat), np.concatenate(rare)
-    page = np.concatenate([pad - 1, ids, pad - 1])
-    q = np.array(offset)[index.where[b, 0]] + index.where[b, 1]
-    p = a + len(pad)
-    count, told = np.zeros(len(a), np.int64), np.zeros(len(a), bool)
-    for o in [*range(-reach, 0), *range(WINDOW, WINDOW + reach)]:
-        want = item[q + o]
-        equal = (want == page[p + o]) | (want == page[p + o - 1]) | (want == page[p + o + 1])
-        count += equal
-        told |= equal & telling[q + o]
-    return ((count >= NEIGHBOURS_TELLING) & told) | (count >= NEIGHBOURS_ANY)
+    plain = word
+    for x, y in _OCR:
+        plain = plain.replace(x, y)
+    bits = beyond = 0
+    for c in plain:
+        k = ord(c) - 97
+        if not 0 <= k < 26 or bits >> (26 + k) & 1:
+            beyond += 1
+        else:
+            bits |= 1 << (26 + k if bits >> k & 1 else k)
+    return len(plain), bits, beyond, ord(word[0]), ord(word[-1]), len(word)
+
+
+#: letters at the end and start of two words that read as one letter once the words are joined
+_JOINED = [(ord(x[0]), ord(x[1])) for x, _ in _OCR if len(x) == 2]
+
+
+class _Reach:
+    """How far an alignment through a seed can go at most, for many seeds at once.
+
+    A side goes on along the diagonal while the words are equal. At the first other word every way ``_walk`` has of going
+    on is tried: bounds on the likeness by letters first, then the likeness itself once for each pair of words. A side
+    on which none goes on ends there; any other counts as unbounded. So no seed is dropped that ``_walk`` takes to
+    MIN_WORDS words.
+    """
+
+    def __init__(self, page: np.ndarray, ends: np.ndarray, starts: np.ndarray, number: dict[str, int], index: ItemIndex):
+        self.page, self.ends, self.index = page, ends, index
+        self.names = [*index.vocabulary, *number]
+        shapes = np.array([_shape(w) for w in self.names], np.int64).reshape(-1, 6)
+        self.size, self.bits, self.beyond, self.first, self.last, self.letters = shapes.T
+        n = len(index.vocabulary)
+        self.own = n  # page words are numbered after the items' words
+        self.as_page = np.array([number.get(w, -2) for w in index.vocabulary] + [-2], np.int64)
+        self.known = np.array([w in index.weight for w in number], bool)
+        self.starts = np.unique(starts)
+        self.is_start = np.zeros(len(page) + 2, bool)
+        self.is_start[self.starts] = True
+        self.memo: dict[tuple[str, tuple[int, ...]], bool] = {}
+
+    def _exact(self, kind: str, test, *ids: np.ndarray) -> np.ndarray:
+        """``test`` of the words numbered ``ids``, worked out once for each distinct combination."""
+        out, memo, names = np.zeros(len(ids[0]), bool), self.memo, self.names
+        for r, key in enumerate(zip(*(x.tolist() for x in ids))):
+            if (got := memo.get((kind, key))) is None:
+                got = memo[kind, key] = test(*(names[x] for x in key))
+            out[r] = got
+        return out
+
+    def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.bits[a] & self.bits[b]) + np.minimum(self.beyond[a], self.beyond[b])
+
+    def same(self, a: np.ndarray, b: np.ndarray, least: float | None = None) -> np.ndarray:
+        """same_word of item words ``a`` and page words ``b`` (-1: none), or at least this likeness."""
+        out = (b >= 0) & (self.as_page[a] == b)
+        at = np.flatnonzero((b >= 0) & ~out & ~self.known[b] & (a < self.own))
+        x, y = a[at], b[at] + self.own
+        close = self._shared(x, y) >= 0.55 * np.maximum(self.size[x], self.size[y]) - 1e-9
+        at, x, y = at[close], x[close], y[close]
+        words = self.index.weight
+        if least is None:
+            out[at] = self._exact("same", lambda v, w: same_word(v, w, words), x, y)
+        else:
+            out[at] = self._exact("near", lambda v, w: same_word(v, w, words) or alike(v, w) >= least, x, y)
+        return out
+
+    def joined(self, one: np.ndarray, first: np.ndarray, second: np.ndarray, least: float) -> np.ndarray:
+        """Whether the words ``first`` and ``second`` run together are like ``one``."""
+        total, other = self.size[first] + self.size[second], self.size[one]
+        shared = self._shared(one, first) + self._shared(one, second)
+        maybe = np.minimum(shared, np.minimum(total, other)) >= least * np.maximum(total, other) - 1e-9
+        for x, y in _JOINED:  # joined they read otherwise than apart
+            maybe |= (self.last[first] == x) & (self.first[second] == y)
+        at = np.flatnonzero(maybe)
+        out = np.zeros(len(one), bool)
+        out[at] = self._exact(f"join{least}", lambda w, x, y: alike(x + y, w) >= least, one[at], first[at], second[at])
+        return out
+
+    def _side(self, q: np.ndarray, p: np.ndarray, lo: np.ndarray, hi: np.ndarray, step: int) -> np.ndarray:
+        """Words an alignment can gain at most beyond item place ``q`` and page place ``p``; 2 * MIN_WORDS: no bound."""
+        item, page, pad = self.index.flat, self.page, self.own
+        gained, live = np.zeros(len(q), np.int64), np.arange(len(q))
+        for k in range(1, MIN_WORDS - WINDOW + 1):
+            there = p[live] + step * k
+            there = np.where((there >= lo[live]) & (there < hi[live]), there, -1)
+            live = live[(there >= 0) & (self.as_page[item[q[live] + step * k]] == page[there])]
+            gained[live] = k
+        full = gained >= MIN_WORDS - WINDOW
+        at = np.flatnonzero(~full)
+        q, j, lo, hi = q[at] + step * gained[at], p[at] + step * gained[at], lo[at], hi[at]
+        a = item[q + step]
+        some = a != pad
+        at, q, j, lo, hi, a = at[some], q[some], j[some], lo[some], hi[some], a[some]
+        a2 = item[q + 2 * step]
+
+        def word(x):
+            return np.where((x >= lo) & (x < hi), page[np.clip(x, 0, len(page) - 1)], -1)
+
+        b, c = word(j + step), word(j + 2 * step)
+        on = self.same(a, b, BADLY_DAMAGED)
+        long = self.letters[a] > 3
+        r = np.flatnonzero(~on & (b >= 0) & (a2 != pad) & (self.letters[b + self.own] > 3))
+        x, y = (a, a2) if step > 0 else (a2, a)
+        on[r] = self.joined(b[r] + self.own, x[r], y[r], 0.7)
+        r = np.flatnonzero(~on & (b >= 0) & (c >= 0) & long)
+        x, y = (b, c) if step > 0 else (c, b)
+        on[r] = self.joined(a[r], x[r] + self.own, y[r] + self.own, 0.7)
+        edge = j + (step > 0)
+        here = self.is_start[edge]
+        after = (b >= 0) & long & self.is_start[np.clip(edge + step, 0, len(self.is_start) - 1)]
+        r = np.flatnonzero(~on & (here | after))
+        if step > 0:
+            first, stop = np.searchsorted(self.starts, j[r] + 2), np.searchsorted(self.starts, np.minimum(j[r] + 2 + MAX_INTERPOSED, hi[r]))
+        else:
+            first, stop = np.searchsorted(self.starts, np.maximum(j[r] - MAX_INTERPOSED, lo[r] + 1)), np.searchsorted(self.starts, j[r])
+        n = np.maximum(stop - first, 0)
+        r = np.repeat(r, n)
+        x = self.starts[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)] - (step < 0)
+        lo, hi = lo[r], hi[r]
+        e, f = page[x], word(x + step)
+        jump = here[r] & ((f >= 0) | (a2[r] == pad))
+        s = np.flatnonzero(jump)
+        jump[s] = self.same(a[r[s]], e[s])
+        s = np.flatnonzero(jump & (a2[r] != pad))
+        jump[s] = self.same(a2[r[s]], f[s])
+        s = np.flatnonzero(~jump & after[r])
+        y, z = (b[r[s]], e[s]) if step > 0 else (e[s], b[r[s]])
+        jump[s] = self.joined(a[r[s]], y + self.own, z + self.own, 0.8)
+        on[r[jump]] = True
+        gained[at[on]] = 2 * MIN_WORDS
+        return gained
+
+    def enough(self, a: np.ndarray, b: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Which seeds may reach MIN_WORDS words."""
+        lo, hi = np.concatenate([[0], self.ends])[own], self.ends[own]
+        q = self.index.offset[self.index.where[b, 0]] + self.index.where[b, 1]
+        reach = self._side(q + WINDOW - 1, a + WINDOW - 1, lo, hi, 1)
+        short = np.flatnonzero(reach < MIN_WORDS - WINDOW)
+        reach[short] += self._side(q[short], a[short], lo[short], hi[short], -1)
+        return reach >= MIN_WORDS - WINDOW
 
 
 def _walk(item: list[str], page: list[str], lines: list[int], words, i: int, j: int, step: int) -> list[tuple[int, int, float]]:
@@ -372,11 +489,12 @@ def scan_pages(pages, index: ItemIndex):
         a, b = seeds(_prints(flat, _vectors(list(number), index.weight)), index)
         if not len(a):
             continue
-        stands = supported(flat, number, index, a, b)
-        a, b = a[stands], b[stands]
         own = np.searchsorted(ends, a, "right")
         inside = a + WINDOW <= ends[own]
         a, b, own = a[inside], b[inside], own[inside]
+        starts = np.concatenate([[0], np.cumsum(word)[~word], ends])
+        stands = _Reach(flat, ends, starts, number, index).enough(a, b, own)
+        a, b, own = a[stands], b[stands], own[stands]
         # overlapping windows on one diagonal are one stretch of text: its first seed stands for all
         item, diagonal = index.where[b, 0], index.where[b, 1] - a
         order = np.lexsort((a, diagonal, item, own))

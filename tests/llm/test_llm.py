@@ -80,6 +80,36 @@ def test_reading_order_puts_columns_together():
     assert leakage.reading_order("a\nb", np.array([1]), np.array([1]), np.array([1]), 1) == ["a", "b"]
 
 
+def test_short_damaged_passages_of_common_words_are_found():
+    rnd = random.Random(3)
+    common = [f"{a}{b}" for a in ("ther", "whic", "abou", "betw") for b in ("eal", "omp", "urd", "ink")]
+    item = [rnd.choice(common) for _ in range(40)]
+    counts = {w: 900 for w in common}
+    index = leakage.build_index([(1, " ".join(item))], counts, 1000)
+    pages, found = [], []
+    for start in range(0, 28):
+        words = [w if k in (0, 4, 5, 6, 7, 11) else w[:2] + "x" + w[3:] for k, w in enumerate(item[start : start + 12])]
+        rest = [f"zq{k:03d}" for k in range(30)]
+        pages.append(("\n".join(" ".join(ws) for ws in (rest[:15], words[:6], words[6:], rest[15:])), [], [], [], 1))
+        found.append((start, 0, 12))
+    assert sorted(leakage.scan_pages(pages, index)) == found
+
+
+def test_no_seed_is_dropped_that_aligns(monkeypatch):
+    rnd = random.Random(9)
+    item = article(rnd, 200)
+    index = leakage.build_index([(1, " ".join(item))], {w: 300 for w in item}, 1000)
+    lines = []
+    for _ in range(60):
+        at = rnd.randrange(180)
+        ws = [w if rnd.random() < 0.8 else rnd.choice([w[:-1] + "x", w[:2] + " " + w[2:], w + rnd.choice(item)]) for w in item[at : at + rnd.randrange(5, 20)]]
+        lines += [" ".join(ws[:7]), rnd.choice(["HATS! HATS!", "", "call at once today"]), " ".join(ws[7:])]
+    pages = [("\n".join(lines[k : k + 30]), [], [], [], 1) for k in range(0, len(lines), 30)]
+    got = sorted(leakage.scan_pages(pages, index))
+    monkeypatch.setattr(leakage._Reach, "enough", lambda self, a, b, own: np.ones(len(a), bool))
+    assert got == sorted(leakage.scan_pages(pages, index)) and got
+
+
 def test_hamming_blocks_find_every_pair_within_the_radius():
     rnd = np.random.default_rng(2)
     base = rnd.integers(0, 2**63, 300).astype(np.uint64)
