@@ -350,6 +350,15 @@ class _Reach:
         gained[at[on]] = 2 * MIN_WORDS
         return gained
 
+    def stand(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Seeds of which all words but one are printed; a fingerprint knows no order, so others are no stretch."""
+        q = self.index.offset[self.index.where[b, 0]] + self.index.where[b, 1]
+        printed, left = np.zeros(len(a), np.int64), np.arange(len(a))
+        for k in range(WINDOW):
+            printed[left] += self.same(self.index.flat[q[left] + k], self.page[a[left] + k])
+            left = left[printed[left] >= k]  # one word may be missing
+        return printed >= WINDOW - 1
+
     def enough(self, a: np.ndarray, b: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Which seeds may reach MIN_WORDS words."""
         lo, hi = np.concatenate([[0], self.ends])[own], self.ends[own]
@@ -444,8 +453,7 @@ def find_in_page(page: list[str], lines: list[int], pairs: list[tuple[int, int]]
     for k, places in by_item.items():
         item, done, best = index.words[k], set(), 0
         for j, i in places:
-            # a fingerprint knows no order: the same words turned round are no stretch of the item
-            if (i, j) in done or sum(same_word(a, b, index.weight) for a, b in zip(item[i : i + WINDOW], page[j : j + WINDOW])) < WINDOW - 1:
+            if (i, j) in done:
                 continue
             path = passage(item, page, lines, index.weight, i, j)
             if not path:
@@ -493,17 +501,14 @@ def scan_pages(pages, index: ItemIndex):
         inside = a + WINDOW <= ends[own]
         a, b, own = a[inside], b[inside], own[inside]
         starts = np.concatenate([[0], np.cumsum(word)[~word], ends])
-        stands = _Reach(flat, ends, starts, number, index).enough(a, b, own)
+        reach = _Reach(flat, ends, starts, number, index)
+        stands = reach.stand(a, b)
+        a, b, own = a[stands], b[stands], own[stands]
+        stands = reach.enough(a, b, own)
         a, b, own = a[stands], b[stands], own[stands]
-        # overlapping windows on one diagonal are one stretch of text: its first seed stands for all
-        item, diagonal = index.where[b, 0], index.where[b, 1] - a
-        order = np.lexsort((a, diagonal, item, own))
-        same = np.ones(len(order), bool)
-        for x in (own, item, diagonal):
-            same[1:] &= x[order][1:] == x[order][:-1]
-        same[1:] &= np.diff(a[order]) <= WINDOW
-        same[:1] = False
-        a, b, own = a[order][~same], b[order][~same], own[order][~same]
+        # every seed of a run is tried; those on a stretch that is already aligned cost a look-up
+        order = np.lexsort((a, index.where[b, 1] - a, index.where[b, 0], own))
+        a, b, own = a[order], b[order], own[order]
         for p in np.unique(own):
             base = ends[p - 1] if p else 0
             mine = own == p

@@ -95,6 +95,15 @@ def test_short_damaged_passages_of_common_words_are_found():
     assert sorted(leakage.scan_pages(pages, index)) == found
 
 
+def test_a_false_first_seed_does_not_stand_for_its_run():
+    rnd = random.Random(6)
+    item = [rnd.choice(NOUNS[:20]) for _ in range(40)]
+    item[10:13] = ["the", "of", "kettleby"]
+    index = leakage.build_index([(1, " ".join(item))], {w: 2_000_000 for w in item} | {"kettleby": 1}, 4_000_000)
+    text = ["zqba", "zqbe"] + item[12:30] + ["zqbi", "zqbo"]
+    assert list(leakage.scan_pages([(" ".join(text), [], [], [], 1)], index)) == [(0, 0, 18)]
+
+
 def test_no_seed_is_dropped_that_aligns(monkeypatch):
     rnd = random.Random(9)
     item = article(rnd, 200)
