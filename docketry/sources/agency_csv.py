@@ -1,4 +1,4 @@
-"""Tolerant reading of agency CSV exports: encoding, delimiter and header found from the head, footers dropped."""
+"""Tolerant reading of agency CSV exports: encoding found from the whole file, delimiter and header from its head, footers dropped."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,13 +33,12 @@ class ParseLog:
 
 
 def decode(raw: bytes) -> tuple[str, str]:
-    """(text, encoding) under the first encoding that fits; a character cut off at the end of a head is no misfit."""
+    """(text, encoding) of a whole file under the first encoding that fits all of it."""
     for encoding in ENCODINGS:
         try:
             return raw.decode(encoding), encoding
-        except UnicodeDecodeError as e:
-            if encoding == "utf-8-sig" and len(raw) == HEAD_BYTES and e.start >= len(raw) - 4:
-                return raw[: e.start].decode(encoding), encoding
+        except UnicodeDecodeError:
+            pass
     raise AssertionError("latin-1 reads any bytes")
 
 
@@ -63,12 +63,17 @@ def find_header(lines: list[str], delimiter: str, scan: int = 25) -> int:
 def read_agency_csv(spark: SparkSession, path: str, agency: str | None = None) -> tuple[DataFrame, ParseLog]:
     """Canonical columns of one export and a log of how it was read.
 
-    Only the head of the file is read on the driver; the rows are decoded and parsed on the executors. Blank lines and
+    The encoding is settled over the whole file on the executors, which also decode and parse the rows; the driver reads
+    only the head, for delimiter and header. Blank lines and
     footer rows are dropped and counted. Values are trimmed, empty ones null; date columns become timestamps.
     """
-    head = bytes(spark.read.format("binaryFile").load(path).select(F.substring("content", 1, HEAD_BYTES).alias("c")).first()["c"])
-    text, encoding = decode(head)
-    lines = text.splitlines()
+
+    def settle(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(bytes(c[:HEAD_BYTES]), decode(bytes(c))[1]) for c in pdf["content"]], columns=["head", "encoding"])
+
+    head, encoding = spark.read.format("binaryFile").load(path).select("content").mapInPandas(settle, "head binary, encoding string").first()
+    lines = bytes(head).decode(encoding, "ignore").splitlines()  # a character cut off at the end of the head is left out
     delimiter = sniff(lines)
     at = find_header(lines, delimiter)
     header = [h.strip() for h in next(csv.reader([lines[at]], delimiter=delimiter))] if lines else []
@@ -77,8 +82,8 @@ def read_agency_csv(spark: SparkSession, path: str, agency: str | None = None) -
     def rows(batches):
         for pdf in batches:
             for content in pdf["content"]:
-                body = bytes(content).decode(encoding).splitlines()
-                yield pdf.iloc[:0][[]].assign(n=[], value=[]) if not body else __import__("pandas").DataFrame({"n": range(len(body)), "value": body})
+                body = decode(bytes(content))[0].splitlines()
+                yield pdf.iloc[:0][[]].assign(n=[], value=[]) if not body else pd.DataFrame({"n": range(len(body)), "value": body})
 
     every = spark.read.format("binaryFile").load(path).select("content").mapInPandas(rows, "n long, value string").where(F.col("n") > at)
     junk = F.col("value").rlike(FOOTER) | (F.trim("value") == "")
