@@ -2,8 +2,9 @@
 
 An address is read into house number, direction, street name, type and unit; blocks and crossings name no building. The
 street names are compared as weighted character n-grams through a prefix-filtered inverted index, and a rare spelling
-takes the name of the far more frequent one it resembles. Records meet on house number and street name; direction, type
-and place must be compatible, and a part left out is taken for the only possibility or not at all.
+takes the name of the far more frequent one it resembles. Records meet on house number and street name, or on house
+number, place and street names of a high cosine; direction, type and place must be compatible, and a part left out is
+taken for the only possibility or not at all.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.lineage import cut
-from docketry.llm.ngrams import similar
+from docketry.llm.ngrams import cosine_of, similar
 from docketry.llm.places import edit_similarity
 
 #: cosine of candidate street names, edit similarity of a match, and how many times more frequent its model must be
 CANDIDATE, ACCEPT, RATIO = 0.25, 0.75, 5
+#: cosine of two spellings of one street at the same house number and place
+SAME_STREET = 0.4
 
 # Street types with their spellings.
 TYPES = {
@@ -167,6 +170,26 @@ def locate(records: DataFrame, parsed: DataFrame, names: DataFrame, gazetteer: D
     return rows.select("id", "source", "number", "name", "direction", "type", "zip5", F.array_sort(places).alias("places"))
 
 
+def alike_streets(building: DataFrame, sides: DataFrame, parsed: DataFrame, names: DataFrame) -> DataFrame:
+    """(l, r): readings of both sides at one house number and place whose street names differ but have a high cosine.
+
+    Digits name a street, so they must be equal. Two spellings with RATIO distinct addresses each are two streets.
+    """
+    support = parsed.join(names, "street").groupBy("name").agg(F.count("*").alias("support"))
+    spots = F.concat(F.transform(F.filter("where", lambda x: x != ""), lambda x: F.concat(F.lit("p"), x)), F.when(F.col("zip5").isNotNull(), F.array(F.concat(F.lit("z"), "zip5"))).otherwise(F.array().cast("array<string>")))
+    spread = building.join(support, "name").withColumn("digits", F.regexp_replace("name", "[^0-9]", "")).withColumn("spot", F.explode(F.array_distinct(spots)))
+
+    def side(source: str, x: str) -> DataFrame:
+        own = spread.join(sides.where(F.col("source") == source).select("reading").distinct(), "reading", "left_semi")
+        return own.select("number", "spot", "digits", F.col("reading").alias(x), *[F.col(c).alias(x + c) for c in ("name", "d", "t", "nd", "nt", "support")])
+
+    fits = lambda c: (F.col(f"l{c}") == F.col(f"r{c}")) | ((F.col(f"l{c}") == "") & (F.col(f"rn{c}") == 1)) | ((F.col(f"r{c}") == "") & (F.col(f"ln{c}") == 1))
+    met = side("left", "l").join(side("right", "r"), ["number", "spot", "digits"]).where((F.col("lname") != F.col("rname")) & (F.least("lsupport", "rsupport") < RATIO) & fits("d") & fits("t"))
+    met = cut(met.select("l", "r", F.col("lname").alias("text"), F.col("rname").alias("reference")).distinct())
+    near = cosine_of(met.select("text", "reference").distinct()).where(F.col("cosine") >= SAME_STREET)
+    return met.join(near, ["text", "reference"]).select("l", "r")
+
+
 def same_building(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """(left, right): an incident and a person record at the same building.
 
@@ -202,11 +225,12 @@ def same_building(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
     })
     only = F.when(F.size("single") == 1, F.col("single")).when(F.size("single") == 0, F.when(F.size("any") == 0, F.array(F.lit(""))).otherwise(F.col("any")))
     settled = settled.withColumn("where", F.coalesce("places", only))
-    building = cut(settled.select("reading", "number", "name", "d", "t", "zip5", "where"))
+    building = cut(settled.select("reading", "number", "name", "d", "t", "zip5", "where", F.size(known("pairs", "d")).alias("nd"), F.size(known("pairs", "t")).alias("nt")))
     sides = located.withColumn("reading", F.sha2(F.to_json(F.struct(*key)), 256)).select("id", "source", "reading").distinct()
     left = sides.where(F.col("source") == "left").select(F.col("id").alias("left"), F.col("reading").alias("l"))
     right = sides.where(F.col("source") == "right").select(F.col("id").alias("right"), F.col("reading").alias("r"))
     a = building.join(left.select(F.col("l").alias("reading")).distinct(), "reading", "left_semi").select(F.col("reading").alias("l"), "number", "name", "d", "t", F.col("zip5").alias("lz"), F.col("where").alias("lw"))
     b = building.join(right.select(F.col("r").alias("reading")).distinct(), "reading", "left_semi").select(F.col("reading").alias("r"), "number", "name", "d", "t", F.col("zip5").alias("rz"), F.col("where").alias("rw"))
+    also = alike_streets(building, sides, parsed, names)
     met = a.join(b, ["number", "name", "d", "t"]).where((F.col("lz") == F.col("rz")) | F.arrays_overlap("lw", "rw"))
-    return met.select("l", "r").join(left, "l").join(right, "r").select("left", "right").distinct()
+    return met.select("l", "r").unionByName(also).join(left, "l").join(right, "r").select("left", "right").distinct()

@@ -63,3 +63,13 @@ def similar(values: DataFrame, references: DataFrame, threshold: float) -> DataF
     full = met.join(a.select("text", F.map_from_arrays("grams", "w").alias("m"), "norm"), "text").join(b, "reference")
     dot = F.aggregate("r_grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.col("m")[g] * F.col("m")[g], F.lit(0.0)))
     return full.select("text", "reference", (dot / (F.col("norm") * F.col("r_norm"))).alias("cosine")).where(F.col("cosine") >= threshold)
+
+
+def cosine_of(pairs: DataFrame) -> DataFrame:
+    """(text, reference, cosine) of the given distinct pairs, weights taken over the texts of all pairs."""
+    texts = cut(pairs.select("text").unionByName(pairs.select(F.col("reference").alias("text"))).distinct())
+    held = cut(vectors(texts, gram_weights(texts), 0.0))
+    full = pairs.join(held.select("text", F.map_from_arrays("grams", "w").alias("m"), "norm"), "text")
+    full = full.join(held.select(F.col("text").alias("reference"), F.col("grams").alias("r_grams"), F.col("norm").alias("r_norm")), "reference")
+    dot = F.aggregate("r_grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.col("m")[g] * F.col("m")[g], F.lit(0.0)))
+    return full.select("text", "reference", (dot / (F.col("norm") * F.col("r_norm"))).alias("cosine"))

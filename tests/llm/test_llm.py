@@ -180,6 +180,14 @@ def test_same_building(spark, gazetteer, rows):
     assert addresses.same_building(df.limit(0), gazetteer).count() == 0
 
 
+def test_same_building_joins_spellings_of_an_infrequent_street(spark, gazetteer, rows):
+    inc = [("i1", "12 MAPLE HOLLOW RD", "00211"), ("i2", "7 RAVENN SUMMIT", "00232"), ("i3", "9 E 4TH STRET AV", "00211"), ("i4", "12 MAPLE HOLLOW RD", "00337"), ("i5", "12 COUNTY ROAD 1001", "00211"), ("i6", "30 CEDAR HOLLOW RD", "00211")]
+    rec = [("r1", "12 MAPEL HOLLOW RD", "00211"), ("r2", "7 RAVEN SUMIT CT", "00232"), ("r3", "9 E 4TH STREET AV", "00211"), ("r4", "12 COUNTY ROAD 1003", "00211"), ("r5", "12 MAPEL HOLLOW AVE", "00211"), ("r6", "30 LAGOON FENCE RD", "00211")]
+    more = [(f"m{k}", "left", f"{200 + k} {name}", "00288", None) for k, name in enumerate(["LAUREL CHASE PKWY", "SORREL CASTLE ST", "GRANARY MALL BLVD", "MILLER PARISH BLVD", "NUTHATCH ISLAND RD", "OAK HILL RD"])]
+    df = spark.createDataFrame([(i, "left", a, z, None) for i, a, z in inc] + [(i, "right", a, z, None) for i, a, z in rec] + more, "id string, source string, address string, zip string, city string")
+    assert rows(addresses.same_building(df, gazetteer)) == [("i1", "r1"), ("i2", "r2"), ("i3", "r3")]
+
+
 # ---- people
 
 
