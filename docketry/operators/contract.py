@@ -1,7 +1,7 @@
 """Declarative row contracts: every check of a row in one projection, exceptions by ``inline``.
 
 A contract is a mapping ``key, columns {name: {type, required, regex, regex_severity, min, max, min_severity,
-range_severity, not_future}}, row_rules [{name, severity}], batch_gates``. ERROR quarantines the row's key, WARN logs.
+range_severity, not_future}}, row_rules [{name, severity}]``. ERROR quarantines the row's key, WARN logs.
 """
 
 from __future__ import annotations
