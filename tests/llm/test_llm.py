@@ -85,29 +85,30 @@ def test_short_damaged_passages_of_common_words_are_found():
     common = [f"{a}{b}" for a in ("ther", "whic", "abou", "betw") for b in ("eal", "omp", "urd", "ink")]
     item = [rnd.choice(common) for _ in range(40)]
     counts = {w: 900 for w in common}
-    index = leakage.build_index([(1, " ".join(item))], counts, 1000)
+    index = leakage.build_index([(1, " ".join(item))])
     pages, found = [], []
     for start in range(0, 28):
         words = [w if k in (0, 4, 5, 6, 7, 11) else w[:2] + "x" + w[3:] for k, w in enumerate(item[start : start + 12])]
         rest = [f"zq{k:03d}" for k in range(30)]
         pages.append(("\n".join(" ".join(ws) for ws in (rest[:15], words[:6], words[6:], rest[15:])), [], [], [], 1))
         found.append((start, 0, 12))
-    assert sorted(leakage.scan_pages(pages, index)) == found
+    got = [(p, k, n) for p, k, n, words, intact in leakage.scan_pages(pages, index) if leakage.intact_enough(words, intact, counts, 1000)]
+    assert sorted(set(got)) == found
 
 
 def test_a_false_first_seed_does_not_stand_for_its_run():
     rnd = random.Random(6)
     item = [rnd.choice(NOUNS[:20]) for _ in range(40)]
     item[10:13] = ["the", "of", "kettleby"]
-    index = leakage.build_index([(1, " ".join(item))], {w: 2_000_000 for w in item} | {"kettleby": 1}, 4_000_000)
+    index = leakage.build_index([(1, " ".join(item))])
     text = ["zqba", "zqbe"] + item[12:30] + ["zqbi", "zqbo"]
-    assert list(leakage.scan_pages([(" ".join(text), [], [], [], 1)], index)) == [(0, 0, 18)]
+    assert {x[:3] for x in leakage.scan_pages([(" ".join(text), [], [], [], 1)], index)} == {(0, 0, 18)}
 
 
 def test_no_seed_is_dropped_that_aligns(monkeypatch):
     rnd = random.Random(9)
     item = article(rnd, 200)
-    index = leakage.build_index([(1, " ".join(item))], {w: 300 for w in item}, 1000)
+    index = leakage.build_index([(1, " ".join(item))])
     lines = []
     for _ in range(60):
         at = rnd.randrange(180)
@@ -122,8 +123,8 @@ def test_no_seed_is_dropped_that_aligns(monkeypatch):
 def test_hamming_blocks_find_every_pair_within_the_radius():
     rnd = np.random.default_rng(2)
     base = rnd.integers(0, 2**63, 300).astype(np.uint64)
-    index = leakage.build_index([(1, " ".join(f"w{i}" for i in range(40)))], {}, 10)
-    index.prints, index.where = base, np.zeros((300, 2), int)
+    index = leakage.build_index([(1, " ".join(f"w{i}" for i in range(40)))])
+    index.prints = base
     index.order = [np.argsort(leakage._block(base, k), kind="stable") for k in range(len(leakage.BLOCKS))]
     index.keys = [leakage._block(base, k)[o] for k, o in enumerate(index.order)]
     for k in range(len(leakage.BLOCKS)):
