@@ -9,7 +9,7 @@ typed columns when a reading for them is known. All of it is row-local: ingestio
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,18 @@ TARGET_TYPES = {c: "string" for c in ("incident_id", "agency", "date_reported",
 REPLAY_PATHS = {"city": ("$.name",), "address": ("$.street",)}
 
 
+def read_degrees(text: Column) -> Column:
+    """Decimal degrees written with a degree sign or a hemisphere letter; south and west are negative. Else null."""
+    form = r"^\s*([-+]?\d+(?:\.\d*)?)\s*[°º]?\s*([NSEWnsew]?)\s*$"
+    number = F.regexp_extract(text, form, 1).try_cast("double")
+    letter = F.upper(F.regexp_extract(text, form, 2))
+    return F.when(letter.isin("S", "W"), -F.abs(number)).otherwise(number)
+
+
+#: how a rescued scalar is read into a target column it did not cast to
+REPLAY_READINGS: dict[str, Callable[[Column], Column]] = {"lat": read_degrees, "lon": read_degrees}
+
+
 def concept_of(key: Column, aliases: Mapping[str, str] = ALIASES) -> Column:
     """Concept a key records: its registered meaning, else the normalised spelling itself."""
     names = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
@@ -52,13 +64,17 @@ def raw_fields(records: DataFrame, payload: str = "payload") -> DataFrame:
     return records.withColumn("_fields", F.from_json(payload, "map<string, variant>"))
 
 
-def ingest(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES, targets: Mapping[str, str] = TARGET_TYPES, keep: Sequence[str] = ("file_id", "agency", "period", "received_at", "row_no")) -> DataFrame:
+def ingest(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES, targets: Mapping[str, str] = TARGET_TYPES, keep: Sequence[str] = ("file_id", "agency", "period", "received_at", "row_no"), only: Sequence[str] | None = None) -> DataFrame:
     """Records as the target columns (typed), the ``keep`` columns and ``_rescued`` (JSON object or null).
 
     A record that is no JSON object has null targets and its text under ``_malformed``. Nulls stay null; an object or
     array where a scalar is expected is rescued under its own key. ``keep`` wins over a target of the same name.
+    ``only`` names the concepts the caller wants; keys of others are then neither read nor rescued.
     """
-    entries = raw_fields(records, payload).withColumn(
+    fields = raw_fields(records, payload)
+    if only is not None:
+        fields = fields.withColumn("_fields", F.map_filter("_fields", lambda k, _: concept_of(k, aliases).isin(*only)))
+    entries = fields.withColumn(
         "_entries",
         F.transform(F.map_entries("_fields"), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), concept_of(e["key"], aliases).alias("concept"), json_kind(e["value"]).alias("kind"))),
     )
@@ -94,17 +110,29 @@ def promote(table: DataFrame, fields: Mapping[str, str], aliases: Mapping[str, s
     return entries.withColumns(out | {RESCUED: rest}).drop("_entries")
 
 
-def replay(table: DataFrame, paths: Mapping[str, Sequence[str]] = REPLAY_PATHS, aliases: Mapping[str, str] = ALIASES) -> DataFrame:
-    """Fill null string targets from rescued objects of the same concept, at the first path that holds a value.
+def replay(table: DataFrame, paths: Mapping[str, Sequence[str]] = REPLAY_PATHS, readings: Mapping[str, Callable[[Column], Column]] = REPLAY_READINGS, aliases: Mapping[str, str] = ALIASES) -> DataFrame:
+    """Fill null targets from rescued values of the same concept.
 
-    Replayed entries leave ``_rescued`` only when nothing else is in them; objects with further members stay.
+    Objects are read at the first path that holds a value, scalars by the reading known for the column. Replayed
+    scalars leave ``_rescued``; objects stay, as they hold further members. Columns the table lacks are passed over.
     """
-    entries = table.withColumn("_entries", F.transform(F.map_entries(F.from_json(RESCUED, "map<string, variant>")), lambda e: F.struct(e["value"].alias("value"), concept_of(e["key"], aliases).alias("concept"))))
+    entries = table.withColumn("_entries", F.transform(F.map_entries(F.from_json(RESCUED, "map<string, variant>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), concept_of(e["key"], aliases).alias("concept"))))
 
     def found(column: str) -> Column:
         return F.get(F.filter("_entries", lambda e: e["concept"] == column), F.lit(0))["value"]
 
-    out = {column: F.coalesce(F.col(column), *[F.try_variant_get(found(column), p, "string") for p in tries]) for column, tries in paths.items()}
+    out = {column: F.coalesce(F.col(column), *[F.try_variant_get(found(column), p, "string") for p in tries]) for column, tries in paths.items() if column in table.columns}
+    read = {column: how for column, how in readings.items() if column in table.columns}
+    as_text = lambda e: F.when(json_kind(e["value"]) == "string", F.try_variant_get(e["value"], "$", "string"))
+    fits = lambda e, column: F.coalesce((e["concept"] == column) & read[column](as_text(e)).isNotNull(), F.lit(False))
+
+    def replayed(column: str) -> Column:
+        return F.get(F.transform(F.filter("_entries", lambda e: fits(e, column)), lambda e: read[column](as_text(e))), F.lit(0))
+
+    out |= {column: F.coalesce(F.col(column), replayed(column)) for column in read}
+    if read:
+        left = F.filter("_entries", lambda e: ~functools.reduce(lambda a, b: a | b, [fits(e, c) for c in read]))
+        out[RESCUED] = F.when(F.size(left) > 0, F.to_json(F.map_from_entries(F.transform(left, lambda e: F.struct(e["key"], e["value"])))))
     return entries.withColumns(out).drop("_entries")
 
 

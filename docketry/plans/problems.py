@@ -34,13 +34,24 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.snapshot_changes(table(spark, sf_dir, "incident_snapshots"))
 
 
+def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_key, lat, lon) of every incident and agency record with a location."""
+    incidents = table(spark, sf_dir, "incidents").select(F.col("incident_id").alias("record_key"), "lat", "lon")
+    fields = drift.ingest(table(spark, sf_dir, "agency_files"), targets={"lat": "double", "lon": "double"}, keep=("file_id", "row_no"), only=("lat", "lon"))
+    agencies = drift.replay(fields).select(F.concat_ws("/", "file_id", F.col("row_no").cast("string")).alias("record_key"), "lat", "lon")
+    return incidents.unionByName(agencies).where(F.col("lat").between(*LAT_BOX) & F.col("lon").between(*LON_BOX))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = table(spark, sf_dir, "sites")
-    incidents = table(spark, sf_dir, "incidents").select(F.col("incident_id").alias("record_key"), "lat", "lon")
-    fields = drift.ingest(table(spark, sf_dir, "agency_files"), targets={"lat": "double", "lon": "double"}, keep=("file_id", "row_no"))
-    agencies = fields.select(F.concat_ws("/", "file_id", F.col("row_no").cast("string")).alias("record_key"), "lat", "lon")
-    points = incidents.unionByName(agencies).where(F.col("lat").between(*LAT_BOX) & F.col("lon").between(*LON_BOX))
-    return proximity.near_sites(points, sites, 250.0, cells=proximity.coverage_bound(sites, 250.0))
+    return proximity.near_sites(located(spark, sf_dir), sites, 250.0, cells=proximity.coverage_bound(sites, 250.0))
+
+
+def p5_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_key, region_id): records inside the diamond of 0.0050005 degrees about a site, as regions given by their border."""
+    corner = lambda dy, dx: F.struct((F.col("lat") + dy).alias("lat"), (F.col("lon") + dx).alias("lon"))
+    ring = F.array(corner(0.0050005, 0.0), corner(0.0, 0.0050005), corner(-0.0050005, 0.0), corner(0.0, -0.0050005))
+    return proximity.in_regions(located(spark, sf_dir), table(spark, sf_dir, "sites").select(F.col("site_id").alias("region_id"), F.array(ring).alias("rings")))
 
 
 def p7_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +69,27 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_instants(spark, sf_dir).where(F.col("epoch_s").isNotNull()).select("record_key", "field", "epoch_s").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_ingested": p1_ingested, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p7_instants": p7_instants}
+QUERIES = {"p1_found": p1_found, "p1_ingested": p1_ingested, "p4_found": p4_found, "p5_found": p5_found, "p5_regions": p5_regions, "p7_found": p7_found, "p7_instants": p7_instants}
+
+#: agency records' coordinates by the spellings of their keys; text with sign or hemisphere is read like drift.read_degrees
+_POINTS = """
+        f AS (SELECT file_id || '/' || row_no AS record_key, k, payload ->> ('$."' || k || '"') AS v, json_type(payload, '$."' || k || '"') AS kind
+            FROM (SELECT file_id, row_no, payload, unnest(json_keys(payload)) AS k FROM agency_files WHERE json_valid(payload))),
+        c AS (SELECT record_key, CASE WHEN lower(trim(k)) IN ('latitude_public','latitude','lat','y') THEN 'lat' WHEN lower(trim(k)) IN ('longitude_public','longitude','lon','long','lng','x') THEN 'lon' END AS axis,
+            regexp_extract(v, '^\\s*([-+]?[0-9]+([.][0-9]*)?)\\s*[°º]?\\s*([NSEW]?)\\s*$', 1) AS n, regexp_extract(v, '([SW])\\s*$', 1) AS west FROM f WHERE kind NOT IN ('OBJECT', 'ARRAY', 'BOOLEAN', 'NULL')),
+        d AS (SELECT record_key, axis, CASE WHEN west = '' THEN try_cast(n AS DOUBLE) ELSE -abs(try_cast(n AS DOUBLE)) END AS x FROM c WHERE axis IS NOT NULL AND n <> ''),
+        p AS (SELECT DISTINCT * FROM (
+            SELECT incident_id AS record_key, lat, lon FROM incidents
+            UNION ALL SELECT a.record_key, a.x, b.x FROM d a JOIN d b USING (record_key) WHERE a.axis = 'lat' AND b.axis = 'lon') WHERE lat BETWEEN 34.9 AND 35.6 AND lon BETWEEN -81.2 AND -80.5)"""
 
 ORACLES = {
+    "p5_found": f"""
+        WITH {_POINTS}
+        SELECT DISTINCT p.record_key, s.site_id FROM p JOIN sites s ON s.lat BETWEEN p.lat - 0.01 AND p.lat + 0.01 AND s.lon BETWEEN p.lon - 0.01 AND p.lon + 0.01
+        WHERE 2 * 6371008.8 * asin(sqrt(pow(sin(radians(s.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2))) <= 250""",
+    "p5_regions": f"""
+        WITH {_POINTS}
+        SELECT DISTINCT p.record_key, s.site_id AS region_id FROM p JOIN sites s ON abs(s.lat - p.lat) + abs(s.lon - p.lon) < 0.0050005""",
     "p4_found": """
         WITH s AS (SELECT DISTINCT snapshot, incident_id, upper(trim(coalesce(offense_code, ''))) AS a, upper(trim(coalesce(clearance_status, ''))) AS b FROM incident_snapshots),
         o AS (SELECT snapshot, lead(snapshot) OVER (ORDER BY snapshot) AS nxt FROM (SELECT DISTINCT snapshot FROM s)),

@@ -79,6 +79,35 @@ def test_near_sites_equals_brute_force(spark, rows):
     assert proximity.near_sites(p.limit(0), s).count() == 0 == proximity.near_sites(p, s.limit(0)).count()
 
 
+def test_in_regions_equals_the_ray_rule(spark, rows):
+    rnd = random.Random(4)
+    corner = lambda a, o: {"lat": a, "lon": o}
+    star = [corner(35.01 + r * math.sin(t), -80.89 + r * math.cos(t)) for k in range(10) for t, r in [(k * math.pi / 5, 0.009 if k % 2 else 0.004)]]
+    hole = [corner(35.009, -80.891), corner(35.011, -80.891), corner(35.011, -80.889), corner(35.009, -80.889)]
+    shapes = [(1, [star]), (2, [star, hole]), (3, [[corner(35.0, -80.9), corner(35.02, -80.9)]]), (4, None), (None, [star]), (5, [[corner(35.0001, -80.8999), corner(35.0001, -80.8998), corner(35.0002, -80.8998)]])]
+    regions = spark.createDataFrame(shapes, "region_id long, rings array<array<struct<lat:double,lon:double>>>")
+    points = [(str(i), rnd.uniform(35.0, 35.02), rnd.uniform(-80.9, -80.88)) for i in range(800)] + [("in", 35.00012, -80.89985), ("null", None, None)]
+    p = spark.createDataFrame(points + points[:3], "record_key string, lat double, lon double")
+    want = {(k, i) for k, a, o in points if a for i, rings in shapes if i and rings and proximity._holds(proximity._edges(rings), a, o)}
+    for cells in (None, 10):
+        assert set(rows(proximity.in_regions(p, regions, cells=cells))) == want
+    assert {i for _, i in want} == {1, 2, 5} and proximity.in_regions(p.limit(0), regions).count() == 0 == proximity.in_regions(p, regions.limit(0)).count()
+
+
+@pytest.mark.parametrize("text, want", [("35.129954 N", 35.129954), ("80.725263 W", -80.725263), (" -80.920689° ", -80.920689), ("35.1°n", 35.1), ("-80.7 W", -80.7), ("12", 12.0), ("north", None), ("", None), ("35.1.2 N", None), (None, None)])
+def test_degrees(spark, text, want):
+    assert spark.createDataFrame([(text,)], "t string").select(drift.read_degrees(F.col("t")).alias("x")).first()["x"] == want
+
+
+def test_replay_reads_coordinates(spark):
+    df = files(spark, ("x", "2026-01", 0, 1, {"LAT": "35.5 N", "x": " -80.5°", "Weapon": "none"}), ("x", "2026-01", 0, 2, {"lat": "bad", "lon": [1]}), ("x", "2026-01", 0, 3, {"lat": True}))
+    out = {r["row_no"]: r for r in drift.replay(drift.ingest(df)).collect()}
+    assert (out[1]["lat"], out[1]["lon"], json.loads(out[1]["_rescued"])) == (35.5, -80.5, {"Weapon": "none"})
+    assert (out[2]["lat"], out[2]["lon"], json.loads(out[2]["_rescued"])) == (None, None, {"lat": "bad", "lon": [1]})
+    only = {r["row_no"]: r["_rescued"] for r in drift.ingest(df, targets={"lat": "double"}, keep=("row_no",), only=("lat",)).collect()}
+    assert json.loads(only[1]) == {"LAT": "35.5 N"} and json.loads(only[2]) == {"lat": "bad"}
+
+
 def epoch(*parts, zone="America/New_York", fold=0):
     return int(datetime(*parts, tzinfo=ZoneInfo(zone), fold=fold).timestamp())
 
