@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docketry.schema import ALIASES, header_key
+from docketry.schema import ALIASES, header_key, parted_key
 
 RESCUED = "_rescued"
 MALFORMED = "_malformed"
@@ -40,10 +40,9 @@ REPLAY_READINGS: dict[str, Callable[[Column], Column]] = {"lat": read_degrees, "
 
 
 def concept_of(key: Column, aliases: Mapping[str, str] = ALIASES) -> Column:
-    """Concept a key records: its registered meaning, else the normalised spelling itself."""
+    """Concept a key records: its registered meaning, also with camel case parted, else the parted spelling itself."""
     names = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
-    spelled = header_key(key)
-    return F.coalesce(names[spelled], spelled)
+    return F.coalesce(names[header_key(key)], names[parted_key(key)], parted_key(key))
 
 
 def json_kind(value: Column) -> Column:

@@ -44,7 +44,7 @@ def _last(spark: SparkSession, sf_dir: str, back: int = 0) -> DataFrame:
 
 def map_columns_orders(spark, sf_dir):
     named = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("Case #"), F.col("o_orderdate").alias("Report Date"), F.col("o_orderstatus").alias("NIBRS Code"), F.col("o_totalprice").alias("Loss"))
-    return schema.map_columns(named, schema.CANONICAL_ALIASES | {"case": "incident_id"})[0].select("incident_id", F.to_date("date_reported").alias("date_reported"), "offense_code")
+    return schema.map_columns(named)[0].select("incident_id", F.to_date("date_reported").alias("date_reported"), "offense_code")
 
 
 def offense_groups(spark, sf_dir):
@@ -244,8 +244,8 @@ ORACLES = {
     "normalized_people": """WITH s AS (SELECT rec_id, string_split(trim(regexp_replace(regexp_replace(upper(replace(replace(coalesce(last_name, ''), '-', ' '), '''', '')), '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')), ' ') AS w FROM synth_a)
         SELECT rec_id, array_to_string(list_filter(w, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS name, coalesce(list_filter(w, lambda x: x IN ('JR','SR','II','III','IV'))[1], '') AS suffix FROM s""",
     "normalized_agencies": """WITH s AS (SELECT trim(regexp_replace(regexp_replace(upper(replace(replace(coalesce(agency, ''), '''', ''), '-', ' ')), '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')) AS a FROM incidents),
-        e AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(a,
-        '\\bSHERIFF OFFICE\\b', 'SHERIFFS OFFICE', 'g'), '\\bPOLICE DEPT\\b', 'POLICE DEPARTMENT', 'g'), '\\bDEPT\\b', 'DEPARTMENT', 'g'), '\\bCNTY\\b', 'COUNTY', 'g'), '\\bUNIV\\b', 'UNIVERSITY', 'g'),
+        e AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(a,
+        '\\bSHERIFF OFFICE\\b', 'SHERIFFS OFFICE', 'g'), '\\bCMPD\\b', 'CHARLOTTE MECKLENBURG POLICE DEPARTMENT', 'g'), '\\bPOLICE DEPT\\b', 'POLICE DEPARTMENT', 'g'), '\\bDEPT\\b', 'DEPARTMENT', 'g'), '\\bCNTY\\b', 'COUNTY', 'g'), '\\bUNIV\\b', 'UNIVERSITY', 'g'),
         '\\bP D\\b', 'POLICE DEPARTMENT', 'g'), '\\bTWP\\b', 'TOWNSHIP', 'g'), '\\bPD\\b', 'POLICE DEPARTMENT', 'g'), '\\bSO\\b', 'SHERIFFS OFFICE', 'g'), '\\bCO\\b', 'COUNTY', 'g') AS a FROM s)
         SELECT array_to_string(list_filter(string_split(a, ' '), lambda w: w NOT IN ('THE','OF','TOWN','CITY','VILLAGE','NC','NORTH','CAROLINA')), ' ') AS agency, count(*) AS n FROM e GROUP BY 1""",
     "jaro_winkler_pairs": """WITH a AS (SELECT DISTINCT dob, upper(last_name) AS a FROM synth_a WHERE dob IS NOT NULL AND trim(dob) <> '' AND last_name <> ''), b AS (SELECT DISTINCT dob, upper(last_name) AS b FROM synth_b WHERE dob IS NOT NULL AND trim(dob) <> '' AND last_name <> '')

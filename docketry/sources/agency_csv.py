@@ -1,4 +1,8 @@
-"""Tolerant reading of agency CSV exports: encoding found from the whole file, delimiter and header from its head, footers dropped."""
+"""Tolerant reading of agency CSV exports, in splits like any text file.
+
+Lines arrive as raw bytes. One aggregation over all of them settles the encoding; delimiter and header come from the
+first lines; everything else is a projection. Nothing but the first lines and the figures of the log reaches the driver.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +11,31 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.operators import instants
-from docketry.schema import CANONICAL_ALIASES, DATE_COLUMNS, MappingReport, map_columns, schema_fingerprint
+from docketry.schema import DATE_COLUMNS, HeaderPlan, map_columns, schema_fingerprint
 
-ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 DELIMITERS = (",", ";", "\t", "|")
 FOOTER = r"(?i)^\s*(?:total|grand total|end of report|page \d+)"
-HEAD_BYTES = 1 << 20
+#: first lines from which delimiter and header are told
+HEAD_LINES = 200
+# Date formats in the order they are tried.
+DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "M/d/yy", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy h:mm a", "d-MMM-yyyy", "MMM d, yyyy"]
+#: years written with two digits are 20xx below it, 19xx from it on
+CENTURY_TURN = 2069
+
+
+def _cp1252() -> tuple[str, str, str]:
+    """What the bytes 80 to 9F are in cp1252: bytes as Latin-1 characters, their characters, and the bytes it lacks."""
+    known, missing = {}, []
+    for n in range(0x80, 0xA0):
+        try:
+            known[chr(n)] = bytes([n]).decode("cp1252")
+        except UnicodeDecodeError:
+            missing.append(chr(n))
+    return "".join(known), "".join(known.values()), "".join(missing)
 
 
 @dataclass
@@ -28,20 +45,10 @@ class ParseLog:
     header_row: int
     footer_rows_dropped: int
     fingerprint: str
-    mapping: MappingReport
+    mapping: HeaderPlan
     unparseable_dates: dict[str, int] = field(default_factory=dict)
 
 
-def decode(raw: bytes) -> tuple[str, str]:
-    """(text, encoding) of a whole file under the first encoding that fits all of it."""
-    for encoding in ENCODINGS:
-        try:
-            return raw.decode(encoding), encoding
-        except UnicodeDecodeError:
-            pass
-    raise AssertionError("latin-1 reads any bytes")
-
-
 def sniff(lines: list[str]) -> str:
     """Delimiter that occurs most in the first fifty lines, a comma where none does."""
     counts = {d: sum(line.count(d) for line in lines[:50]) for d in DELIMITERS}
@@ -51,7 +58,7 @@ def sniff(lines: list[str]) -> str:
 
 def find_header(lines: list[str], delimiter: str, scan: int = 25) -> int:
     """Index of the first line with the usual number of cells of which most are words; 0 where none is."""
-    rows = [next(csv.reader([line], delimiter=delimiter)) if line.strip() else [] for line in lines[:200]]
+    rows = [next(csv.reader([line], delimiter=delimiter)) if line.strip() else [] for line in lines[:HEAD_LINES]]
     widths = Counter(len(r) for r in rows if r)
     usual = max(widths, key=lambda w: (widths[w], w)) if widths else 0
     for i, row in enumerate(rows[:scan]):
@@ -60,49 +67,68 @@ def find_header(lines: list[str], delimiter: str, scan: int = 25) -> int:
     return 0
 
 
-def read_agency_csv(spark: SparkSession, path: str, agency: str | None = None) -> tuple[DataFrame, ParseLog]:
-    """Canonical columns of one export and a log of how it was read.
+def parse_date(text: Column) -> Column:
+    """Timestamp under the first of DATE_FORMATS that fits, else null."""
 
-    The encoding is settled over the whole file on the executors, which also decode and parse the rows; the driver reads
-    only the head, for delimiter and header. Blank lines and
-    footer rows are dropped and counted. Values are trimmed, empty ones null; date columns become timestamps.
-    """
+    def one(form: str) -> Column:
+        stamp = F.try_to_timestamp(text, F.lit(form))
+        if "yyyy" in form:
+            return stamp
+        return F.when(F.year(stamp) >= CENTURY_TURN, stamp - F.make_interval(years=F.lit(100))).otherwise(stamp)
 
-    def settle(batches):
-        for pdf in batches:
-            yield pd.DataFrame([(bytes(c[:HEAD_BYTES]), decode(bytes(c))[1]) for c in pdf["content"]], columns=["head", "encoding"])
+    return F.coalesce(*map(one, DATE_FORMATS))
 
-    head, encoding = spark.read.format("binaryFile").load(path).select("content").mapInPandas(settle, "head binary, encoding string").first()
-    lines = bytes(head).decode(encoding, "ignore").splitlines()  # a character cut off at the end of the head is left out
-    delimiter = sniff(lines)
-    at = find_header(lines, delimiter)
-    header = [h.strip() for h in next(csv.reader([lines[at]], delimiter=delimiter))] if lines else []
-    charset = {"utf-8-sig": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}[encoding]
 
-    def rows(batches):
-        for pdf in batches:
-            for content in pdf["content"]:
-                body = decode(bytes(content))[0].splitlines()
-                yield pdf.iloc[:0][[]].assign(n=[], value=[]) if not body else pd.DataFrame({"n": range(len(body)), "value": body})
+def _decoded(raw: Column, encoding: str) -> Column:
+    if encoding == "utf-8-sig":
+        return raw
+    latin = F.decode(raw.cast("binary"), "ISO-8859-1")
+    given, written, _ = _cp1252()
+    return F.translate(latin, given, written) if encoding == "cp1252" else latin
 
-    every = spark.read.format("binaryFile").load(path).select("content").mapInPandas(rows, "n long, value string").where(F.col("n") > at)
+
+def read_agency_csv(spark: SparkSession, path: str, agency: str | None = None) -> tuple[DataFrame, ParseLog]:
+    """Canonical columns of one export and a log of how it was read.
+
+    The encoding is the first of UTF-8, cp1252 and Latin-1 that fits every line. Blank lines and footer rows are dropped
+    and counted. Values are trimmed, empty ones null; date columns become timestamps, what is no date becomes null and
+    is counted. An empty file has no columns.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("raw"), F.monotonically_increasing_id().alias("id"), (F.col("_metadata.file_block_start") == 0).alias("first"))
+    lacking = "[" + _cp1252()[2] + "]"
+    told = lines.agg(
+        F.bool_and(F.is_valid_utf8("raw")).alias("utf8"),
+        F.bool_or(F.decode(F.col("raw").cast("binary"), "ISO-8859-1").rlike(lacking)).alias("odd"),
+        F.min(F.when(F.col("first"), F.col("id"))).alias("begin"),  # lines of the first split are numbered in order
+    ).first()
+    encoding = "utf-8-sig" if told["utf8"] is not False else "latin-1" if told["odd"] else "cp1252"
+    text = lines.select(_decoded(F.col("raw"), encoding).alias("value"), F.when(F.col("first"), F.col("id") - F.lit(told["begin"])).alias("n"))
+    head = [r["value"].removeprefix("﻿") for r in text.where(F.col("n") < HEAD_LINES).orderBy("n").collect()]
+    delimiter = sniff(head)
+    at = find_header(head, delimiter)
+    header = [h.strip() for h in next(csv.reader([head[at]], delimiter=delimiter))] if head else []
+    body = text.where(F.col("n").isNull() | (F.col("n") > at))
     junk = F.col("value").rlike(FOOTER) | (F.trim("value") == "")
-    dropped = every.where(junk).count()
-    kind = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    cells = every.where(~junk).select(F.from_csv("value", kind.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"sep": delimiter, "ignoreLeadingWhiteSpace": "true"}).alias("r"))
-    clean = cells.select([F.nullif(F.trim(F.col(f"r.c{i}")), F.lit("")).alias(h) for i, h in enumerate(header)])
-    mapped, report = map_columns(clean, CANONICAL_ALIASES | {"case": "incident_id"})
-    log = ParseLog(charset, delimiter, at, dropped, schema_fingerprint(header), report)
-    if agency is not None and "agency" not in mapped.columns:
-        mapped = mapped.withColumn("agency", F.lit(agency))
-    for column in [c for c in DATE_COLUMNS if c in mapped.columns]:
-        known = instants.recognise(mapped, column)
-        p, month_first = F.col("parts"), F.col("shape") == "numeric"
-        from docketry.functions import instants as parse
-
-        month, day = F.when(month_first, p["a"]).otherwise(p["m"]), F.when(month_first, p["b"]).otherwise(p["d"])
-        wall = F.unix_date(F.make_date(F.when(parse.is_date(p["y"], month, day), p["y"]), month, day)).cast("long") * 86400 + parse.seconds_of_day(p)
-        known = known.withColumn("_ts", F.timestamp_seconds(F.when(parse.is_date(p["y"], month, day), wall)))
-        log.unparseable_dates[column] = known.where(F.col(column).isNotNull() & F.col("_ts").isNull()).count()
-        mapped = known.withColumn(column, F.col("_ts")).drop("_text", "shape", "parts", "month_ok", "day_ok", "_ts")
-    return mapped, log
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+    shape = ", ".join(f"{f.name} string" for f in cells.fields)
+    read = F.from_csv("value", shape, {"sep": delimiter, "ignoreLeadingWhiteSpace": "true"}) if header else F.lit(None)
+    rows = body.where(~junk).select(read.alias("r")) if header else body.where(F.lit(False))
+    named = rows.select([F.nullif(F.trim(F.col(f"r.c{i}")), F.lit("")).alias(h) for i, h in _distinct(header)])
+    mapped, plan = map_columns(named)
+    dates = [c for c in DATE_COLUMNS if c in mapped.columns]
+    unread = mapped.agg(F.lit(0).alias("_"), *[F.count_if(F.col(c).isNotNull() & parse_date(F.col(c)).isNull()).alias(c) for c in dates]).first()
+    out = mapped.withColumns({c: parse_date(F.col(c)) for c in dates}) if dates else mapped
+    if agency is not None and "agency" not in out.columns:
+        out = out.withColumn("agency", F.lit(agency))
+    return out, ParseLog(encoding, delimiter, at, body.where(junk).count(), schema_fingerprint(header), plan, {c: unread[c] for c in dates})
+
+
+def _distinct(header: list[str]) -> list[tuple[int, str]]:
+    """Places and names of the columns; a name met again is told apart, so that it still counts as repeated."""
+    seen: Counter[str] = Counter()
+    out = []
+    for i, h in enumerate(header):
+        key = h.lower()
+        out.append((i, h + " " * seen[key]))
+        seen[key] += 1
+    return out
