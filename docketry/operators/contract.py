@@ -1,7 +1,8 @@
 """Declarative row contracts: every check of a row in one projection, exceptions by ``inline``.
 
 A contract is a mapping ``key, columns {name: {type, required, regex, regex_severity, min, max, min_severity,
-range_severity, not_future}}, row_rules [{name, severity}]``. ERROR quarantines the row's key, WARN logs.
+range_severity, not_future}}, row_rules [{name, severity}]``; limits of the whole batch are read by ``gates``. ERROR
+quarantines the row's key, WARN logs.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 NULL_KEY = "<null>"
 
@@ -36,9 +36,10 @@ def register_rule(name: str, needs: tuple[str, ...], condition: Callable[[], Col
 
 
 def load_contract(path: str | Path) -> dict:
+    """A YAML contract, or notes of a review, as plain mappings; an empty file is an empty mapping."""
     import yaml
 
-    return yaml.safe_load(Path(path).read_text())
+    return yaml.safe_load(Path(path).read_text()) or {}
 
 
 def _shown(column: str) -> Column:
@@ -54,7 +55,7 @@ def _checks(contract: Mapping, columns: list[str], today: date) -> list[tuple[st
         if rule.get("required"):
             out.append(("required_null", "ERROR", name, c.isNull()))
         if "regex" in rule:
-            out.append(("format", rule.get("regex_severity", "ERROR"), name, c.isNotNull() & ~c.cast("string").rlike(rf"\A(?:{rule['regex'].strip('^$')})\z")))
+            out.append(("format", rule.get("regex_severity", "ERROR"), name, c.isNotNull() & ~c.cast("string").rlike(rf"\A(?:{rule['regex']})\z")))
         if rule.get("type") == "date":
             stamp = c.cast("timestamp_ntz")
             if rule.get("not_future"):
@@ -72,6 +73,16 @@ def _checks(contract: Mapping, columns: list[str], today: date) -> list[tuple[st
     return out
 
 
+def _with_copies(df: DataFrame, key: str) -> DataFrame:
+    """Add ``_copied``: whether the key is not null and met more than once.
+
+    Keys are counted with partial aggregation and only the repeated ones are joined back, so a key that is null or
+    repeated in a third of all rows meets no window and the rows are shuffled by no key of their own.
+    """
+    repeated = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1").select("_key", F.lit(True).alias("_copied"))
+    return df.join(repeated, F.col(key) == F.col("_key"), "left").drop("_key").withColumn("_copied", F.coalesce("_copied", F.lit(False)))
+
+
 def validate(df: DataFrame, contract: Mapping, today: date) -> DataFrame:
     """(record_key, rule, severity, column, value) of every violation, all strings.
 
@@ -86,8 +97,8 @@ def validate(df: DataFrame, contract: Mapping, today: date) -> DataFrame:
             checks.append((rule["name"], rule.get("severity", "WARN"), needs[0], condition()))
     counted = df
     if key in df.columns:
-        counted = df.withColumn("_copies", F.count("*").over(Window.partitionBy(key)))
-        checks.append(("duplicate_key", "ERROR", key, F.col(key).isNotNull() & (F.col("_copies") > 1)))
+        counted = _with_copies(df, key)
+        checks.append(("duplicate_key", "ERROR", key, F.col("_copied")))
     shown_key = F.coalesce(_shown(key), F.lit(NULL_KEY)) if key in df.columns else F.lit(NULL_KEY)
     entries = [
         F.when(F.coalesce(bad, F.lit(False)), F.struct(shown_key.alias("record_key"), F.lit(name).alias("rule"), F.lit(severity).alias("severity"), F.lit(column).alias("column"), _shown(column).alias("value")))
@@ -106,6 +117,11 @@ def summary(exceptions: DataFrame, rows_checked: int) -> DataFrame:
     return exceptions.groupBy("rule", "severity").agg(F.count("*").alias("rows")).withColumn("pct", 100.0 * F.col("rows") / max(rows_checked, 1))
 
 
+def ordered_summary(summary: DataFrame) -> DataFrame:
+    """The summary with errors first, the most frequent rule first, and shares of three places."""
+    return summary.withColumn("pct", F.round("pct", 3)).orderBy("severity", F.col("rows").desc(), "rule")
+
+
 def quarantined_keys(exceptions: DataFrame) -> DataFrame:
     """Distinct keys with an ERROR, without ``*``."""
     return exceptions.where((F.col("severity") == "ERROR") & (F.col("record_key") != "*")).select("record_key").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.functions.similarity import indel_ratio
+from docketry.lineage import cut
 
 
 def clean_place(raw: Column, region: str = "NORTH CAROLINA|UNITED STATES OF AMERICA|UNITED STATES|USA", region_code: str = "N C") -> Column:
@@ -48,3 +49,14 @@ def resolve_places(values: DataFrame, gazetteer: DataFrame, threshold: float = 8
         .otherwise(F.struct(F.lit(None).cast("string").alias("canonical"), F.lit("unresolved").alias("method"), F.lit(0.0).alias("score")))
     )
     return joined.withColumn("d", decision).select("raw", "d.canonical", "d.method", "d.score", "rows")
+
+
+def resolve_column(df: DataFrame, gazetteer: DataFrame, column: str = "city", **how) -> tuple[DataFrame, DataFrame]:
+    """(df with ``jurisdiction``, crosswalk by falling rows): every distinct value resolved once and met by its rows.
+
+    The crosswalk grows with the distinct values, so whether it is broadcast is left to the planner.
+    """
+    crosswalk = cut(resolve_places(df.select(F.col(column).alias("raw")), gazetteer, **how))
+    found = crosswalk.select(F.col("raw").alias("_raw"), F.col("canonical").alias("jurisdiction"))
+    out = df.join(found, F.coalesce(F.col(column), F.lit("")) == F.col("_raw"), "left").drop("_raw")
+    return out, crosswalk.orderBy(F.col("rows").desc(), "raw")

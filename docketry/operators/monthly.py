@@ -32,6 +32,11 @@ def monthly_counts(df: DataFrame, as_of: date, settle_days: int = 30, exclude_un
     return counts.crossJoin(F.broadcast(through)).where(F.last_day("month") <= F.col("through")).select("month", *GROUPS, settled(F.col("month"), as_of, settle_days).alias("settled"))  # through is one row
 
 
+def from_month(monthly: DataFrame, first: date) -> DataFrame:
+    """The series from a month on, in order."""
+    return monthly.where(F.col("month") >= F.lit(first)).orderBy("month")
+
+
 def trailing_12_change(monthly: DataFrame, column: str) -> DataFrame:
     """One row (last_12, prior_12, pct_change, windows) over the last 24 settled months; none where there are fewer."""
     ranked = monthly.where("settled").withColumn("k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("month").desc())))

@@ -17,6 +17,7 @@ def build_session(app: str = "docketry", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.python.filterPushdown.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -15,6 +15,25 @@ CELL_ALIASES = {
 }
 
 
+# Words before the agency's name and before the period, and the period's formats.
+AGENCY_LABELS = ["Agency", "Reporting Agency", "Department"]
+PERIOD_LABELS = ["Reporting Period", "Period", "Month"]
+PERIOD_FORMATS = ["MMMM yyyy", "MMM yyyy", "M/yyyy"]
+
+
+def document_head(text: Column) -> Column:
+    """Struct of ``agency`` and ``period`` (yyyy-MM) named in a document's first page; a part that is not there is null.
+
+    A label whose period has no known form raises an error: counts of an unknown month must not be added up.
+    """
+    agency = F.regexp_extract(text, rf"(?i)(?:{'|'.join(AGENCY_LABELS)})\s*:\s*([^\r\n]+)", 1)
+    named = F.regexp_extract(text, rf"(?i)(?:{'|'.join(PERIOD_LABELS)})\s*:\s*([a-z]+\.?\s+\d{{4}}|\d{{1,2}}/\d{{4}})", 1)
+    plain = F.regexp_replace(F.trim(F.replace(named, F.lit("."), F.lit(""))), r"\s+", " ")
+    stamp = F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in PERIOD_FORMATS])
+    period = F.when(named != "", F.coalesce(F.date_format(stamp, "yyyy-MM"), F.raise_error(F.concat(F.lit("unrecognised period: "), named)).cast("string")))
+    return F.struct(F.nullif(F.trim(agency), F.lit("")).alias("agency"), period.alias("period"))
+
+
 def normal_cell(cell: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(F.regexp_replace(F.coalesce(cell, F.lit("")), r"\s+", " "))), r":$", "")
 

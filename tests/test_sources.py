@@ -37,11 +37,11 @@ def test_fetch_retries_and_gives_up(monkeypatch):
 
 
 def test_snapshot_directories(spark, tmp_path):
-    assert snapshots.latest_snapshot(tmp_path) is None
+    assert snapshots.latest_snapshot(spark, tmp_path) is None and snapshots.latest_snapshot(spark, tmp_path / "none") is None
     for name, n in (("2026-09-01", 3), ("2026-10-01", 5), ("2026-10-01", 6)):
         snapshots.write_snapshot(spark.range(n), tmp_path, name, {"rows": n})
     (tmp_path / "2026-11-01").mkdir()
-    df, manifest = snapshots.read_snapshot(spark, snapshots.latest_snapshot(tmp_path))
+    df, manifest = snapshots.read_snapshot(spark, snapshots.latest_snapshot(spark, tmp_path))
     assert df.count() == manifest["rows"] == 6
 
 
