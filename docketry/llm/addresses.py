@@ -1,10 +1,10 @@
 """Same postal address written differently.
 
-An address is read into house number, direction, street name, type and unit; blocks and crossings name no building. The
-street names are compared as weighted character n-grams through a prefix-filtered inverted index, and a rare spelling
-takes the name of the far more frequent one it resembles. Records meet on house number and street name, or on house
-number, place and street names of a high cosine; direction, type and place must be compatible, and a part left out is
-taken for the only possibility or not at all.
+An address is read into house number, direction, street name, type and unit; blocks and crossings name no building.
+Street names become weighted character n-grams. An inverted index keyed by house number and the grams of a prefix finds
+the candidates: a pair whose cosine reaches the threshold shares a gram of both prefixes. The cosine then decides which
+spellings at one house number are one street. Direction, type and place must be compatible, and a part left out is taken
+for the only possibility among those spellings or not at all.
 """
 
 from __future__ import annotations
@@ -15,16 +15,12 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docketry.lineage import cut
-from docketry.llm.ngrams import cosine_of, similar
-from docketry.llm.places import edit_similarity
+from docketry.llm.ngrams import damped_weights, pair_cosines, vectors
 
-#: cosine of candidate street names, edit similarity of a match, and how many times more frequent its model must be
-CANDIDATE, ACCEPT, RATIO = 0.25, 0.75, 5
-#: cosine of two spellings of one street at the same house number and place
-SAME_STREET = 0.4
+#: cosine of two spellings of one street at the same house number
+SAME_STREET = 0.5
 
 # Street types with their spellings.
 TYPES = {
@@ -133,22 +129,21 @@ def parse(addresses: DataFrame, cities: tuple[tuple[str, str], ...]) -> DataFram
     return addresses.select("address").where(F.col("address").isNotNull()).distinct().repartition(tasks, "address").mapInPandas(read, "address string, " + SCHEMA)
 
 
-def street_names(parsed: DataFrame) -> DataFrame:
-    """(street, name): each spelling with the frequent spelling it stands for, or itself.
+def same_streets(parsed: DataFrame, threshold: float = SAME_STREET) -> DataFrame:
+    """(number, street, other): spellings at one house number whose cosine reaches the threshold, each with itself too.
 
-    Support is the number of distinct addresses. A spelling follows the most similar one of at least RATIO times its
-    support; equally frequent streets of similar name stay apart. Names with digits only ever stand for themselves.
+    Both orders are given. Digits name a street, so they must be equal. Spellings are compared once for each pair,
+    whatever the number of houses and rows that write them.
     """
-    counted = parsed.groupBy("street").agg(F.count("*").alias("support"))
-    words = counted.where(~F.col("street").rlike("[0-9]") & (F.length("street") >= 4))
-    pairs = similar(words.select(F.col("street").alias("text")), words.where(F.col("support") >= RATIO).select(F.col("street").alias("text")), CANDIDATE)
-    pairs = pairs.where(F.col("text") != F.col("reference"))
-    with_counts = pairs.join(words.select(F.col("street").alias("text"), F.col("support").alias("own")), "text").join(words.select(F.col("street").alias("reference"), "support"), "reference")
-    tasks = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated: the rows are few bytes but much work
-    frequent = with_counts.where(F.col("support") >= RATIO * F.col("own")).repartition(tasks)
-    fit = frequent.withColumn("edit", edit_similarity("text", "reference", ACCEPT)).where(F.col("edit") >= ACCEPT)
-    best = fit.groupBy("text").agg(F.max(F.struct("edit", "cosine", "support", "reference")).alias("b"))
-    return counted.join(best.select(F.col("text").alias("street"), F.col("b.reference").alias("model")), "street", "left").select("street", F.coalesce("model", "street").alias("name"))
+    streets = parsed.groupBy(F.col("street").alias("text")).agg(F.count("*").alias("n"))
+    held = cut(vectors(streets.select("text"), damped_weights(streets), threshold))
+    spots = parsed.select("number", "street").distinct()
+    keyed = spots.join(held.select(F.col("text").alias("street"), "prefix"), "street").select("number", F.regexp_replace("street", "[^0-9]", "").alias("digits"), "street", F.explode("prefix").alias("gram"))
+    other = keyed.withColumnRenamed("street", "other")
+    met = cut(keyed.join(other, ["number", "digits", "gram"]).where(F.col("street") < F.col("other")).select("number", "street", "other").distinct())
+    near = pair_cosines(met.select(F.col("street").alias("text"), F.col("other").alias("reference")).distinct(), held).where(F.col("cosine") >= threshold)
+    pairs = met.join(near.select(F.col("text").alias("street"), F.col("reference").alias("other")), ["street", "other"]).select("number", "street", "other")
+    return pairs.unionByName(pairs.select("number", F.col("other").alias("street"), F.col("street").alias("other"))).unionByName(spots.withColumn("other", F.col("street")))
 
 
 def zip5(column):
@@ -157,37 +152,41 @@ def zip5(column):
     return F.when(digits != "", F.lpad(digits, 5, "0"))
 
 
-def locate(records: DataFrame, parsed: DataFrame, names: DataFrame, gazetteer: DataFrame) -> DataFrame:
+def locate(records: DataFrame, parsed: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Records with their address parts and the set of ``places`` they may lie in (null where nothing says so).
 
     The city written in the address counts first, then the record's ``city``, then its zip; a zip narrows a city only if
     they agree.
     """
     held = gazetteer.select("canonical", F.explode("zips").alias("zip5")).groupBy("zip5").agg(F.collect_set("canonical").alias("by_zip"))
-    rows = records.withColumn("zip5", zip5(F.col("zip"))).join(parsed.withColumnRenamed("city", "written"), "address").join(names, "street").join(F.broadcast(held), "zip5", "left")
+    rows = records.withColumn("zip5", zip5(F.col("zip"))).join(parsed.withColumnRenamed("city", "written"), "address").join(held, "zip5", "left")
     city = F.coalesce("written", "city")
     places = F.when(city.isNotNull(), F.array(city)).otherwise(F.col("by_zip"))
-    return rows.select("id", "source", "number", "name", "direction", "type", "zip5", F.array_sort(places).alias("places"))
+    return rows.select("id", "source", "number", "street", "direction", "type", "zip5", F.array_sort(places).alias("places"))
 
 
-def alike_streets(building: DataFrame, sides: DataFrame, parsed: DataFrame, names: DataFrame) -> DataFrame:
-    """(l, r): readings of both sides at one house number and place whose street names differ but have a high cosine.
+def _known(column, field: str):
+    return F.array_distinct(F.filter(F.transform(column, lambda p: p[field]), lambda x: x != ""))
 
-    Digits name a street, so they must be equal. Two spellings with RATIO distinct addresses each are two streets.
-    """
-    support = parsed.join(names, "street").groupBy("name").agg(F.count("*").alias("support"))
-    spots = F.concat(F.transform(F.filter("where", lambda x: x != ""), lambda x: F.concat(F.lit("p"), x)), F.when(F.col("zip5").isNotNull(), F.array(F.concat(F.lit("z"), "zip5"))).otherwise(F.array().cast("array<string>")))
-    spread = building.join(support, "name").withColumn("digits", F.regexp_replace("name", "[^0-9]", "")).withColumn("spot", F.explode(F.array_distinct(spots)))
 
-    def side(source: str, x: str) -> DataFrame:
-        own = spread.join(sides.where(F.col("source") == source).select("reading").distinct(), "reading", "left_semi")
-        return own.select("number", "spot", "digits", F.col("reading").alias(x), *[F.col(c).alias(x + c) for c in ("name", "d", "t", "nd", "nt", "support")])
+def settle(readings: DataFrame, streets: DataFrame) -> DataFrame:
+    """Readings with the parts left out: ``d`` direction, ``t`` type, ``where`` the places they may lie in.
 
-    fits = lambda c: (F.col(f"l{c}") == F.col(f"r{c}")) | ((F.col(f"l{c}") == "") & (F.col(f"rn{c}") == 1)) | ((F.col(f"r{c}") == "") & (F.col(f"ln{c}") == 1))
-    met = side("left", "l").join(side("right", "r"), ["number", "spot", "digits"]).where((F.col("lname") != F.col("rname")) & (F.least("lsupport", "rsupport") < RATIO) & fits("d") & fits("t"))
-    met = cut(met.select("l", "r", F.col("lname").alias("text"), F.col("rname").alias("reference")).distinct())
-    near = cosine_of(met.select("text", "reference").distinct()).where(F.col("cosine") >= SAME_STREET)
-    return met.join(near, ["text", "reference"]).select("l", "r")
+    A part left out is the only one that fits among the spellings of the street at the number; where several fit it
+    stays its own variant. A reading without place takes the one place named there; with several it stays open. The
+    sets gathered are of directions, types and places, of which there are few.
+    """
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    own = readings.groupBy("number", F.col("street").alias("other")).agg(F.collect_set(F.struct(empty("direction").alias("d"), empty("type").alias("t"))).alias("p"))
+    seen = streets.join(own, ["number", "other"]).groupBy("number", "street").agg(F.array_distinct(F.flatten(F.collect_set("p"))).alias("pairs"))
+    fits = F.filter("pairs", lambda p: (F.col("direction").isNull() | (p["d"] == F.col("direction"))) & (F.col("type").isNull() | (p["t"] == F.col("type"))))
+    both = readings.join(seen, ["number", "street"]).withColumn("fits", fits)
+    pick = lambda given, f: F.coalesce(given, F.when(F.size(_known("fits", f)) == 1, _known("fits", f)[0]), F.lit(""))
+    parts = cut(both.withColumns({"d": pick(F.col("direction"), "d"), "t": pick(F.col("type"), "t")}).drop("pairs", "fits", "direction", "type"))
+    named = parts.groupBy("number", F.col("street").alias("other"), "d", "t").agg(F.collect_set(F.when(F.size("places") == 1, F.col("places")[0])).alias("one"), F.array_distinct(F.flatten(F.collect_set("places"))).alias("all"))
+    there = streets.join(named, ["number", "other"]).groupBy("number", "street", "d", "t").agg(F.array_distinct(F.flatten(F.collect_set("one"))).alias("one"), F.array_distinct(F.flatten(F.collect_set("all"))).alias("all"))
+    only = F.when(F.size("one") == 1, F.col("one")).when(F.size("one") == 0, F.when(F.size("all") == 0, F.array(F.lit(""))).otherwise(F.col("all")))
+    return parts.join(there, ["number", "street", "d", "t"]).select("reading", "number", "street", "d", "t", "zip5", F.coalesce("places", only).alias("where"))
 
 
 def same_building(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
@@ -195,42 +194,17 @@ def same_building(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
     ``records`` has ``id, source (left or right), address, zip, city (canonical or null)``. Null and empty addresses,
     blocks and crossings match nothing; repeated rows count once. Records are first folded to distinct readings, so an
-    address holding a tenth of all rows is one reading until the pairs are written out.
+    address holding a tenth of all rows is one reading until the pairs are written out, where adaptive execution splits
+    its rows.
     """
     cities = city_spellings(gazetteer)
     # each is read several times below; without the cut every reader would parse and compare again
     parsed = cut(parse(records, cities))
-    names = cut(street_names(parsed))
-    located = cut(locate(records, parsed, names, gazetteer))
-    key = ["number", "name", "direction", "type", "zip5", "places"]
-    readings = located.select(*key).distinct().withColumn("reading", F.sha2(F.to_json(F.struct(*key)), 256))
-    # what else shares number and street name, to settle parts left out; counted over readings, not over rows
-    at = Window.partitionBy("number", "name")
-    seen = readings.withColumns({
-        "directions": F.collect_set(F.coalesce("direction", F.lit(""))).over(at),
-        "pairs": F.collect_set(F.struct(F.coalesce("direction", F.lit("")).alias("d"), F.coalesce("type", F.lit("")).alias("t"))).over(at),
-    })
-    full = lambda side: F.filter("pairs", lambda p: ((F.col(f"{side}direction").isNull()) | (p["d"] == F.col(f"{side}direction"))) & ((F.col(f"{side}type").isNull()) | (p["t"] == F.col(f"{side}type"))))
-    known = lambda column, field: F.array_distinct(F.filter(F.transform(column, lambda p: p[field]), lambda x: x != ""))
-    settled = seen.withColumn("fits", full("")).withColumns({
-        # a part left out is the only one that fits; where several fit it stays its own variant
-        "d": F.coalesce("direction", F.when(F.size(known(F.col("fits"), "d")) == 1, known(F.col("fits"), "d")[0]), F.lit("")),
-        "t": F.coalesce("type", F.when(F.size(known(F.col("fits"), "t")) == 1, known(F.col("fits"), "t")[0]), F.lit("")),
-    })
-    # a reading without place takes the one place named at its number and street; with several it stays open
-    there = Window.partitionBy("number", "name", "d", "t")
-    settled = settled.withColumns({
-        "single": F.collect_set(F.when(F.size("places") == 1, F.col("places")[0])).over(there),
-        "any": F.array_distinct(F.flatten(F.collect_set("places").over(there))),
-    })
-    only = F.when(F.size("single") == 1, F.col("single")).when(F.size("single") == 0, F.when(F.size("any") == 0, F.array(F.lit(""))).otherwise(F.col("any")))
-    settled = settled.withColumn("where", F.coalesce("places", only))
-    building = cut(settled.select("reading", "number", "name", "d", "t", "zip5", "where", F.size(known("pairs", "d")).alias("nd"), F.size(known("pairs", "t")).alias("nt")))
-    sides = located.withColumn("reading", F.sha2(F.to_json(F.struct(*key)), 256)).select("id", "source", "reading").distinct()
-    left = sides.where(F.col("source") == "left").select(F.col("id").alias("left"), F.col("reading").alias("l"))
-    right = sides.where(F.col("source") == "right").select(F.col("id").alias("right"), F.col("reading").alias("r"))
-    a = building.join(left.select(F.col("l").alias("reading")).distinct(), "reading", "left_semi").select(F.col("reading").alias("l"), "number", "name", "d", "t", F.col("zip5").alias("lz"), F.col("where").alias("lw"))
-    b = building.join(right.select(F.col("r").alias("reading")).distinct(), "reading", "left_semi").select(F.col("reading").alias("r"), "number", "name", "d", "t", F.col("zip5").alias("rz"), F.col("where").alias("rw"))
-    also = alike_streets(building, sides, parsed, names)
-    met = a.join(b, ["number", "name", "d", "t"]).where((F.col("lz") == F.col("rz")) | F.arrays_overlap("lw", "rw"))
-    return met.select("l", "r").unionByName(also).join(left, "l").join(right, "r").select("left", "right").distinct()
+    streets = cut(same_streets(parsed))
+    key = ["number", "street", "direction", "type", "zip5", "places"]
+    located = cut(locate(records, parsed, gazetteer).withColumn("reading", F.sha2(F.to_json(F.struct(*key)), 256)).distinct())
+    building = cut(settle(located.select("reading", *key).distinct(), streets))
+    left, right = (located.where(F.col("source") == s).select(F.col("id").alias(s), F.col("reading").alias(s[0])) for s in ("left", "right"))
+    side = lambda rows, x: building.join(rows.select(F.col(x).alias("reading")).distinct(), "reading", "left_semi").select(F.col("reading").alias(x), "number", F.col("street").alias("street" if x == "l" else "other"), "d", "t", F.col("zip5").alias(f"{x}z"), F.col("where").alias(f"{x}w"))
+    met = side(left, "l").join(streets, ["number", "street"]).join(side(right, "r"), ["number", "other", "d", "t"]).where((F.col("lz") == F.col("rz")) | F.arrays_overlap("lw", "rw"))
+    return cut(met.select("l", "r").distinct()).join(left, "l").join(right, "r").select("left", "right").distinct()

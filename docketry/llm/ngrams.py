@@ -65,10 +65,23 @@ def similar(values: DataFrame, references: DataFrame, threshold: float) -> DataF
     return full.select("text", "reference", (dot / (F.col("norm") * F.col("r_norm"))).alias("cosine")).where(F.col("cosine") >= threshold)
 
 
-def cosine_of(pairs: DataFrame) -> DataFrame:
-    """(text, reference, cosine) of the given distinct pairs, weights taken over the texts of all pairs."""
-    texts = cut(pairs.select("text").unionByName(pairs.select(F.col("reference").alias("text"))).distinct())
-    held = cut(vectors(texts, gram_weights(texts), 0.0))
+#: texts that must hold a gram for half of its weight
+DAMPING = 10.0
+
+
+def damped_weights(texts: DataFrame) -> DataFrame:
+    """(gram, weight) over (text, n), n being how often the text occurs.
+
+    The weight is the log of all occurrences over those with the gram, damped where few have it: what is met a few times
+    only is as likely a misspelling as a rare name.
+    """
+    total = texts.agg(F.sum("n").cast("double").alias("all"))
+    counts = texts.select(F.explode(grams_of(F.col("text"))).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("c"))
+    return counts.crossJoin(F.broadcast(total)).select("gram", (F.log(1 + F.col("all") / F.col("c")) * F.col("c") / (F.col("c") + DAMPING)).alias("weight"))  # total is one row
+
+
+def pair_cosines(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """(text, reference, cosine) of the given distinct pairs, from the ``vectors`` of their texts."""
     full = pairs.join(held.select("text", F.map_from_arrays("grams", "w").alias("m"), "norm"), "text")
     full = full.join(held.select(F.col("text").alias("reference"), F.col("grams").alias("r_grams"), F.col("norm").alias("r_norm")), "reference")
     dot = F.aggregate("r_grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.col("m")[g] * F.col("m")[g], F.lit(0.0)))

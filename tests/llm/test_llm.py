@@ -267,3 +267,27 @@ def test_mix_equals_one_queue(spark):
     assert shares["absent"]["tokens"] == 0 and abs(shares["big"]["actual_share"] - 5 / 9) < 0.05 and shares["small"]["max_copies"] <= 3
     assert mixture.mix(df.limit(0), targets).count() == 0
     assert mixture.mix(df, targets, budget=500).agg(F.sum("n_tokens")).first()[0] <= 500
+
+
+def test_same_streets_equals_brute_force(spark):
+    rnd = random.Random(12)
+    base = ["MAPLECREST", "MAPLECREEK", "GRANARYMALL", "COUNTYROAD1001", "COUNTYROAD1003", "5TH"]
+    spell = lambda w: w if rnd.random() < 0.4 else w[: (k := rnd.randrange(1, len(w)))] + rnd.choice("ABCX") + w[k + rnd.randrange(2) :]
+    data = sorted({(str(rnd.randrange(3)), spell(rnd.choice(base))) for _ in range(120)})
+    parsed = spark.createDataFrame(data, "number string, street string")
+    streets = parsed.groupBy(F.col("street").alias("text")).agg(F.count("*").alias("n"))
+    weight = {r["gram"]: r["weight"] for r in ngrams.damped_weights(streets).collect()}
+    grams = {r["text"]: set(r["g"]) for r in streets.select("text", ngrams.grams_of(F.col("text")).alias("g")).collect()}
+    square = lambda g: sum(weight[x] ** 2 for x in g)
+    digits = lambda w: "".join(c for c in w if c.isdigit())
+    want = {(n, a, b) for n, a in data for m, b in data if n == m and digits(a) == digits(b) and (a == b or square(grams[a] & grams[b]) >= 0.5 * (square(grams[a]) * square(grams[b])) ** 0.5)}
+    got = [tuple(r) for r in addresses.same_streets(parsed).select("number", "street", "other").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and any(a != b for _, a, b in want)
+
+
+def test_same_building_does_not_depend_on_how_often_a_street_is_written(spark, gazetteer, rows):
+    kind = "id string, source string, address string, zip string, city string"
+    for n in (1, 4, 6, 20):
+        more = [(f"m{k}{x}", "left", f"{300 + k} {x} RD", "00211", None) for k in range(n) for x in ("MAPLE HOLLOW", "MAPEL HOLLOW")]
+        df = spark.createDataFrame([("i1", "left", "12 MAPLE HOLLOW RD", "00211", None), ("r1", "right", "12 MAPEL HOLLOW ROAD", "211", None), ("r2", "right", "13 MAPEL HOLLOW ROAD", "211", None), *more], kind)
+        assert rows(addresses.same_building(df, gazetteer)) == [("i1", "r1")]
