@@ -8,12 +8,24 @@ from pyspark.sql import functions as F
 from docketry.lineage import cut
 
 SIZES = (2, 3)
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def grams_of(text: Column, sizes=SIZES) -> Column:
-    """Distinct n-grams of the text between end marks; an empty text has those of the marks alone."""
+    """Distinct n-grams of the text between end marks; an empty text has those of the marks alone.
+
+    Grams of size 1 are the capital letters, each with the count up to which the text holds it.
+    """
     padded = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.array_distinct(F.flatten(F.array(*[_windows(padded, n) for n in sizes])))
+    return F.array_distinct(F.flatten(F.array(*[_windows(padded, n) if n > 1 else _counted_letters(text) for n in sizes])))
+
+
+def _counted_letters(text: Column) -> Column:
+    def held(letter: str) -> Column:
+        n = F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.lit(letter + "#"), k.cast("string")))).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.array(*map(held, LETTERS)))
 
 
 def _windows(padded: Column, n: int) -> Column:
@@ -21,12 +33,12 @@ def _windows(padded: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))
 
 
-def vectors(texts: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+def vectors(texts: DataFrame, weights: DataFrame, threshold: float, sizes=SIZES) -> DataFrame:
     """(text, grams, w, norm, prefix) of distinct ``text``: weights in falling order and the grams a match must share.
 
     Whatever shares none of the prefix can reach a cosine of at most the norm of the rest, which is below the threshold.
     """
-    rows = texts.select("text", F.explode(grams_of(F.col("text"))).alias("gram")).join(weights, "gram")
+    rows = texts.select("text", F.explode(grams_of(F.col("text"), sizes)).alias("gram")).join(weights, "gram")
     held = rows.groupBy("text").agg(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("neg"), "gram"))).alias("x"))
     held = held.select("text", F.col("x.gram").alias("grams"), F.transform("x.neg", lambda v: -v).alias("w"))
     square = F.aggregate("w", F.lit(0.0), lambda s, v: s + v * v)
@@ -47,22 +59,33 @@ def gram_weights(*texts: DataFrame) -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).select("gram", F.log(1 + F.col("n") / F.col("count")).alias("weight"))  # total is one row
 
 
-def similar(values: DataFrame, references: DataFrame, threshold: float) -> DataFrame:
+#: share of the greatest weight that a gram of no reference has: it may be a misspelling
+UNSEEN = 0.25
+
+
+def reference_weights(values: DataFrame, references: DataFrame, sizes=SIZES) -> DataFrame:
+    """(gram, weight) of the values' and references' grams: log of the references over those that hold the gram."""
+    grams = lambda df: df.select("text").distinct().select(F.explode(grams_of(F.col("text"), sizes)).alias("gram"))
+    total = references.select("text").distinct().agg(F.count("*").cast("double").alias("n"))
+    counts = grams(references).groupBy("gram").agg(F.count("*").alias("c"))
+    every = grams(values).distinct().join(counts, "gram", "full").crossJoin(F.broadcast(total))  # total is one row
+    return every.select("gram", F.when(F.col("c").isNull(), UNSEEN * F.log(1 + F.col("n"))).otherwise(F.log(1 + F.col("n") / F.col("c"))).alias("weight"))
+
+
+def similar(values: DataFrame, references: DataFrame, threshold: float, weights: DataFrame | None = None, sizes=SIZES) -> DataFrame:
     """(text, reference, cosine) of all pairs of distinct texts with a cosine of at least ``threshold``.
 
-    Both tables have a column ``text`` without nulls; repeated texts count once. Candidates share a gram of the value's
-    prefix; there is no cap on candidates.
+    Both tables have a column ``text`` without nulls; repeated texts count once. Without ``weights`` they are taken over
+    both tables. Candidates share a gram of both prefixes; there is no cap on candidates.
     """
     left, right = values.select("text").distinct(), references.select("text").distinct()
     # vectors are read twice each; cutting them keeps the plan small and computes them once
-    weights = gram_weights(left, right)
-    a = cut(vectors(left, weights, threshold))
-    b = cut(vectors(right, weights, threshold)).select(F.col("text").alias("reference"), F.col("grams").alias("r_grams"), F.col("norm").alias("r_norm"))
+    weights = gram_weights(left, right) if weights is None else weights
+    held = cut(vectors(left.unionByName(right).distinct(), weights, threshold, sizes))
+    keyed = lambda side, name: side.join(held.select("text", "prefix"), "text").select(F.col("text").alias(name), F.explode("prefix").alias("gram"))
     tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, or adaptive execution merges the narrow pairs into too few tasks
-    met = a.select("text", F.explode("prefix").alias("gram")).join(b.select("reference", F.explode("r_grams").alias("gram")), "gram").select("text", "reference").distinct().repartition(tasks, "text")
-    full = met.join(a.select("text", F.map_from_arrays("grams", "w").alias("m"), "norm"), "text").join(b, "reference")
-    dot = F.aggregate("r_grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.col("m")[g] * F.col("m")[g], F.lit(0.0)))
-    return full.select("text", "reference", (dot / (F.col("norm") * F.col("r_norm"))).alias("cosine")).where(F.col("cosine") >= threshold)
+    met = keyed(left, "text").join(keyed(right, "reference"), "gram").select("text", "reference").distinct().repartition(tasks, "text")
+    return pair_cosines(met, held).where(F.col("cosine") >= threshold)
 
 
 #: texts that must hold a gram for half of its weight

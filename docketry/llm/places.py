@@ -1,28 +1,28 @@
 """Free-entered place names mapped to a canonical list.
 
 Every distinct entry is normalised once and looked up among the reference spellings (canonical names, aliases and
-earlier decisions). What has no exact entry is compared by weighted character n-grams; the best canonical name is taken
-when it is similar enough, survives an edit check and leads the runner-up by a margin. The rest is reported unmatched.
+earlier decisions). What has no exact entry is compared with them by weighted character n-grams, candidates coming from
+an inverted index; the canonical name of the highest cosine is taken when that is high enough and leads the next
+canonical name by a margin. The rest is reported unmatched.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.lineage import cut
-from docketry.llm.ngrams import similar
+from docketry.llm.ngrams import reference_weights, similar
 
 NONE = "(none)"
-#: cosine below which a pair is no candidate
-CANDIDATE = 0.1
-#: edit similarity a match must have, and its lead over the next canonical name
-ACCEPT, MARGIN = 0.62, 0.08
+#: cosine a match must have, and its lead over the next canonical name
+ACCEPT, MARGIN = 0.38, 0.045
+#: letters, pairs and triples of letters: letters survive where neighbours are exchanged
+SIZES = (1, 2, 3)
 
 # Debris of web forms found beside names.
-DEBRIS = ["&NBSP;", "%20", "<BR", "[OBJECT", "SELECT ONE", "DROPDOWN", "UNDEFINED", "NULL", "/TR"]
+DEBRIS = ["N/A", "&NBSP;", "%20", "<BR", "[OBJECT", "SELECT ONE", "DROPDOWN", "UNDEFINED", "NULL", "/TR"]
 # Words for the state and country.
 REGION_WORDS = ["UNITED STATES", "NORTH KESTRIA", "N.K.", "NK", "USA"]
 # What may stand about a place name without changing it.
@@ -71,37 +71,6 @@ def squashed(name: Column) -> Column:
     return F.regexp_replace(name, " ", "")
 
 
-def osa(a: str, b: str) -> float:
-    """Edit similarity with neighbouring swaps as one edit."""
-    if a == b:
-        return 1.0
-    la, lb = len(a), len(b)
-    if not la or not lb:
-        return 0.0
-    before, last = None, list(range(lb + 1))
-    for i in range(1, la + 1):
-        row = [i] + [0] * lb
-        for j in range(1, lb + 1):
-            cost = a[i - 1] != b[j - 1]
-            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + cost)
-            if before is not None and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                row[j] = min(row[j], before[j - 2] + 1)
-        before, last = last, row
-    return 1 - last[lb] / max(la, lb)
-
-
-def edit_similarity(a: str, b: str, least: float = 0.0) -> Column:
-    """``osa`` of two columns, by Arrow batches; 0 where the letters in common show that it is below ``least``."""
-
-    def hopeless(p: str, q: str) -> bool:
-        return least > 0 and sum(min(p.count(c), q.count(c)) for c in set(p)) < least * max(len(p), len(q))
-
-    def likeness(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([0.0 if hopeless(p, q) else osa(p, q) for p, q in zip(x, y)], dtype="float64")
-
-    return F.pandas_udf(likeness, "double")(a, b)
-
-
 def reference_forms(gazetteer: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
     """(form, canonical, listed): squashed spellings of each canonical name; ``(none)`` for entries decided to be no place.
 
@@ -136,14 +105,13 @@ def resolve_names(entries: DataFrame, gazetteer: DataFrame, crosswalk: DataFrame
     exact = texts.join(forms.withColumnRenamed("form", "text"), "text").select("text", "canonical", F.lit("exact").alias("method"), F.lit(1.0).alias("score"))
     open_texts = texts.join(exact, "text", "left_anti")
     usable = forms.where((F.col("canonical") != NONE) | (F.length("form") >= 4))
-    pairs = similar(open_texts.where(F.length("text") >= 3), usable.select(F.col("form").alias("text")), CANDIDATE)
-    # a score below ACCEPT - MARGIN changes neither acceptance nor margin; tasks are stated, or the few bytes of much work meet in one
-    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = pairs.repartition(tasks).withColumn("score", edit_similarity("text", "reference", ACCEPT - MARGIN)).join(usable.select(F.col("form").alias("reference"), "canonical"), "reference")
-    best = scored.groupBy("text", "canonical").agg(F.max(F.struct("score", "cosine")).alias("s"))
-    lead = Window.partitionBy("text").orderBy(F.col("s.score").desc(), F.col("s.cosine").desc(), "canonical")
-    top = best.withColumns({"n": F.row_number().over(lead), "second": F.lead("s.score").over(lead)}).where(F.col("n") == 1)
-    fuzzy = top.where((F.col("s.score") >= ACCEPT) & (F.col("s.score") - F.coalesce("second", F.lit(0.0)) >= MARGIN)).select("text", "canonical", F.lit("fuzzy").alias("method"), F.col("s.score").alias("score"))
+    values, references = open_texts.where(F.length("text") >= 3), usable.select(F.col("form").alias("text"))
+    # a cosine below ACCEPT - MARGIN changes neither acceptance nor lead
+    pairs = similar(values, references, ACCEPT - MARGIN, reference_weights(values, references, SIZES), SIZES)
+    best = pairs.join(usable.select(F.col("form").alias("reference"), "canonical"), "reference").groupBy("text", "canonical").agg(F.max("cosine").alias("score"))
+    lead = Window.partitionBy("text").orderBy(F.col("score").desc(), "canonical")
+    top = best.withColumns({"n": F.row_number().over(lead), "second": F.lead("score").over(lead)}).where(F.col("n") == 1)
+    fuzzy = top.where((F.col("score") >= ACCEPT) & (F.col("score") - F.coalesce("second", F.lit(0.0)) >= MARGIN)).select("text", "canonical", F.lit("fuzzy").alias("method"), "score")
     decided = named.join(cut(exact.unionByName(fuzzy)), "text", "left")
     by_zip = decided.join(F.broadcast(unique_zips(gazetteer).withColumnRenamed("canonical", "z")), "zip", "left")
     bare = (F.length("text") == 0) & F.col("z").isNotNull()

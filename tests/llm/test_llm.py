@@ -156,12 +156,13 @@ def test_places(spark, gazetteer):
     want = {
         "CASTELLAN, NK 00211-5170": "CASTELLAN", "Castelan": "CASTELLAN", "C A S T ELLAN": "CASTELLAN", "CASTELLANDROPDOWN77": "CASTELLAN", "ARDLEY, NORTH": "NORTH ARDLEY", "N. ARDLEY": "NORTH ARDLEY", "ARDLEY": places.NONE,
         "E PENHALLOW": "EAST PENHALLOW", "PENHALLOW": "PENHALLOW", "00232": "DUNMERE", "00607": places.NONE, "DUNMERE 00211": "DUNMERE", "Spindlethorpe, NK": places.NONE, "The Castle": "CASTELLAN", "CSTL": "CASTELLAN",
-        "": places.NONE, "?": places.NONE, "DNUERE": "DUNMERE", "X" * 3000: places.NONE, "CITY OF DUNMERE": "DUNMERE",
+        "": places.NONE, "?": places.NONE, "DNUERE": "DUNMERE", "X" * 3000: places.NONE, "CITY OF DUNMERE": "DUNMERE", "N/A": places.NONE, "DNUMRE": "DUNMERE",
     }
     entries = spark.createDataFrame([(w,) for w in [*want, "CSTL"]] + [(None,)], "raw string")
     assert {r["raw"]: r["canonical"] for r in places.resolve_names(entries, gazetteer, cross).collect()} == want
     assert places.resolve_names(entries.limit(0), gazetteer).count() == 0
-    assert places.osa("ABCD", "ABDC") == 0.75 and places.osa("", "A") == 0
+    again = {r["raw"]: (r["method"], r["score"]) for r in places.resolve_names(entries, gazetteer, cross).collect()}
+    assert again["Castelan"][0] == "fuzzy" and places.ACCEPT <= again["Castelan"][1] < 1 and again["CSTL"] == ("exact", 1.0) and again["?"][0] == "unmatched"
 
 
 @pytest.mark.parametrize("text, parts", [
