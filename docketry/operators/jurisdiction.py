@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.functions.similarity import indel_ratio
+from docketry.functions.text import counted_letters
 from docketry.lineage import cut
 
+#: letters a canonical name must have to be found at the start of an entry
+PREFIX = 6
+
 
 def clean_place(raw: Column, region: str = "NORTH CAROLINA|UNITED STATES OF AMERICA|UNITED STATES|USA", region_code: str = "N C") -> Column:
     """Struct of ``name`` (letters only, region words dropped) and ``zip5``."""
@@ -22,24 +26,31 @@ def clean_place(raw: Column, region: str = "NORTH CAROLINA|UNITED STATES OF AMER
 def resolve_places(values: DataFrame, gazetteer: DataFrame, threshold: float = 80.0, lead: float = 10.0, region: str = "NORTH CAROLINA|UNITED STATES OF AMERICA|UNITED STATES|USA", region_code: str = "N C") -> DataFrame:
     """(raw, canonical, method, score, rows): each distinct ``raw`` value resolved once; null counts as the empty text.
 
-    ``gazetteer`` has ``canonical, alias, zips``; it is a short reference list, met once per distinct cleaned name.
+    ``gazetteer`` has ``canonical, alias, zips``. Every distinct cleaned name meets the names it may be by equi-joins:
+    those it begins with, and those that share a letter of its prefix, without which the similarity could not matter.
     """
     raws = values.groupBy(F.coalesce("raw", F.lit("")).alias("raw")).agg(F.count("*").alias("rows")).withColumn("c", clean_place(F.col("raw"), region, region_code)).select("raw", "rows", "c.name", "c.zip5")
     listed = gazetteer.select("canonical").distinct()
     forms = gazetteer.select("canonical", F.explode(F.array("canonical", "alias")).alias("name")).where(F.col("name").isNotNull()).groupBy("name").agg(F.min("canonical").alias("exact"))
     zips = gazetteer.select("canonical", F.explode("zips").alias("zip5")).groupBy("zip5").agg(F.count_distinct("canonical").alias("n"), F.min("canonical").alias("by_zip")).where("n = 1").drop("n")
     names = raws.select("name").distinct()
-    open_names = names.join(F.broadcast(forms), "name", "left_anti").where(F.length("name") > 0)
-    # the list has a few dozen names: every open name is scored against each
-    scored = open_names.join(F.broadcast(listed), F.lit(True)).withColumns({"ratio": indel_ratio(F.col("name"), F.col("canonical")), "prefix": F.col("name").startswith(F.col("canonical")) & (F.length("canonical") >= 6)})
+    open_names = cut(names.join(forms, "name", "left_anti").where(F.length("name") > 0))
+    longest = listed.agg(F.max(F.length("canonical")).alias("_longest"))  # one row
+    starts = open_names.crossJoin(F.broadcast(longest)).where((F.length("name") >= PREFIX) & (F.col("_longest") >= PREFIX))
+    starts = starts.select("name", F.explode(F.transform(F.sequence(F.lit(PREFIX), F.least(F.length("name"), "_longest")), lambda n: F.substring("name", F.lit(1), n))).alias("canonical"))
+    begun = starts.join(listed, "canonical").groupBy("name").agg(F.count("*").alias("prefixes"), F.min("canonical").alias("by_prefix"))
+    # a runner-up below threshold - lead never matters; of a pair above it least / (200 - least) of the name are shared,
+    # and what is no letter is a space
+    least = threshold - lead
+    letters = counted_letters(F.col("name"))
+    shared = F.ceil(F.length("name") * (least / (200.0 - least)) - 1e-9) - (F.length("name") - F.size(letters))
+    head = F.slice(letters, 1, (F.size(letters) - F.greatest(shared, F.lit(1)) + 1).cast("int"))
+    met = open_names.where(F.size(letters) > 0).select("name", F.explode(head).alias("letter")).join(listed.select("canonical", F.explode(counted_letters(F.col("canonical"))).alias("letter")), "letter").select("name", "canonical").distinct()
+    scored = met.withColumn("ratio", indel_ratio(F.col("name"), F.col("canonical"))).where(F.col("ratio") >= least)
     rank = Window.partitionBy("name").orderBy(F.col("ratio").desc(), "canonical")
     lined = scored.withColumns({"k": F.row_number().over(rank), "second": F.coalesce(F.lead("ratio").over(rank), F.lit(0.0))})
-    tiers = lined.groupBy("name").agg(
-        F.count_if("prefix").alias("prefixes"),
-        F.min(F.when(F.col("prefix"), F.col("canonical"))).alias("by_prefix"),
-        F.max(F.when(F.col("k") == 1, F.struct("canonical", "ratio", "second"))).alias("top"),
-    )
-    joined = raws.join(F.broadcast(forms), "name", "left").join(tiers, "name", "left").join(F.broadcast(zips), "zip5", "left")
+    tops = lined.where("k = 1").select("name", F.struct("canonical", "ratio", "second").alias("top"))
+    joined = raws.join(forms, "name", "left").join(begun, "name", "left").join(tops, "name", "left").join(zips, "zip5", "left")
     fuzzy = (F.length("name") >= 4) & (F.col("top.ratio") >= threshold) & (F.col("top.ratio") - F.col("top.second") >= lead)
     decision = (
         F.when(F.col("exact").isNotNull(), F.struct(F.col("exact").alias("canonical"), F.lit("exact").alias("method"), F.lit(100.0).alias("score")))

@@ -111,6 +111,31 @@ def test_jurisdiction_tiers(spark):
     assert got == {raw[0]: ("CHARLOTTE", "exact"), "CLT": ("CHARLOTTE", "exact"), raw[2]: ("CHARLOTTE", "prefix"), "Charlote": ("CHARLOTTE", "fuzzy"), "28105": ("MATTHEWS", "zip"), "28227": (None, "unresolved"), "XYZ": (None, "unresolved"), "": (None, "unresolved")}
 
 
+def test_jurisdiction_candidates_lose_no_match(spark):
+    import random
+
+    rnd = random.Random(2)
+    listed = ["CASTELLAN", "NORTH ARDLEY", "DUNMERE", "PENHALLOW", "MT O", "COUNTY (OPEN)"]
+    spell = lambda w: "".join(c if rnd.random() < 0.85 else rnd.choice(["", "E", c + c]) for c in w)
+    raw = sorted({spell(w) for w in listed for _ in range(25)} | set(listed))
+    gaz = spark.createDataFrame([(w, None, None) for w in listed], "canonical string, alias string, zips array<string>")
+    values = spark.createDataFrame([(r,) for r in raw], "raw string")
+    cleaned = dict(map(tuple, values.select("raw", jurisdiction.clean_place(F.col("raw")).getField("name")).collect()))
+    got = {r["raw"]: (r["canonical"], r["method"]) for r in jurisdiction.resolve_places(values, gaz).collect()}
+    for r, name in cleaned.items():
+        ranked = sorted(((similarity.ratio_of(name, w), w) for w in listed), key=lambda x: (-x[0], x[1]))
+        begun = [w for w in listed if len(w) >= 6 and name.startswith(w)]
+        want = (None, "unresolved")
+        if name in listed:
+            want = (name, "exact")
+        elif len(begun) == 1:
+            want = (begun[0], "prefix")
+        elif len(name) >= 4 and ranked[0][0] >= 80 and ranked[0][0] - ranked[1][0] >= 10:
+            want = (ranked[0][1], "fuzzy")
+        assert got[r] == want
+    assert len({m for _, m in got.values()}) >= 3
+
+
 PERSON = "rec_id string, first_name string, last_name string, dob string, address string, zip string"
 
 
