@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.functions.text import counted_letters
 from docketry.lineage import cut
 
 SIZES = (2, 3)
-LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def grams_of(text: Column, sizes=SIZES) -> Column:
@@ -17,15 +17,7 @@ def grams_of(text: Column, sizes=SIZES) -> Column:
     Grams of size 1 are the capital letters, each with the count up to which the text holds it.
     """
     padded = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.array_distinct(F.flatten(F.array(*[_windows(padded, n) if n > 1 else _counted_letters(text) for n in sizes])))
-
-
-def _counted_letters(text: Column) -> Column:
-    def held(letter: str) -> Column:
-        n = F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
-        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.lit(letter + "#"), k.cast("string")))).otherwise(F.array().cast("array<string>"))
-
-    return F.flatten(F.array(*map(held, LETTERS)))
+    return F.array_distinct(F.flatten(F.array(*[_windows(padded, n) if n > 1 else counted_letters(text) for n in sizes])))
 
 
 def _windows(padded: Column, n: int) -> Column:

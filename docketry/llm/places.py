@@ -113,7 +113,7 @@ def resolve_names(entries: DataFrame, gazetteer: DataFrame, crosswalk: DataFrame
     top = best.withColumns({"n": F.row_number().over(lead), "second": F.lead("score").over(lead)}).where(F.col("n") == 1)
     fuzzy = top.where((F.col("score") >= ACCEPT) & (F.col("score") - F.coalesce("second", F.lit(0.0)) >= MARGIN)).select("text", "canonical", F.lit("fuzzy").alias("method"), "score")
     decided = named.join(cut(exact.unionByName(fuzzy)), "text", "left")
-    by_zip = decided.join(F.broadcast(unique_zips(gazetteer).withColumnRenamed("canonical", "z")), "zip", "left")
+    by_zip = decided.join(unique_zips(gazetteer).withColumnRenamed("canonical", "z"), "zip", "left")
     bare = (F.length("text") == 0) & F.col("z").isNotNull()
     return by_zip.select(
         "raw",

@@ -17,7 +17,7 @@ def p2_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = table(spark, sf_dir, "gazetteer").select(F.col("canonical").alias("city")).distinct()
-    rows = table(spark, sf_dir, "incidents").where(F.col("city").isNotNull()).select("incident_id", "city").distinct().join(F.broadcast(listed), "city", "left_anti")
+    rows = table(spark, sf_dir, "incidents").where(F.col("city").isNotNull()).select("incident_id", "city").distinct().join(listed, "city", "left_anti")
     found = places.resolve_names(rows.select(F.col("city").alias("raw")), table(spark, sf_dir, "gazetteer"), table(spark, sf_dir, "jurisdiction_crosswalk"))
     return rows.join(found.select(F.col("raw").alias("city"), "canonical"), "city").select("incident_id", "canonical").distinct()
 
