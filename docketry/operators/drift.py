@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docketry.lineage import cut
 from docketry.schema import ALIASES, header_key, parted_key
 
 RESCUED = "_rescued"
+ORIGIN = "_origin"
 MALFORMED = "_malformed"
 
 #: target column -> Spark type; a value that does not cast is rescued
@@ -47,9 +49,13 @@ def concept_of(key: Column, aliases: Mapping[str, str] = ALIASES) -> Column:
 
 def json_kind(value: Column) -> Column:
     """string, number, boolean, object or array; null for a JSON null."""
-    kind = F.schema_of_variant(value)
+    # bound once: within a lambda every use of an expression is worked out again
+    return F.get(F.transform(F.array(F.schema_of_variant(value)), _kind_of), F.lit(0))
+
+
+def _kind_of(kind: Column) -> Column:
     return (
-        F.when(value.isNull() | (kind == "VOID"), None)
+        F.when(kind.isNull() | (kind == "VOID"), None)
         .when(kind == "STRING", "string")
         .when(kind == "BOOLEAN", "boolean")
         .when(kind.startswith("OBJECT"), "object")
@@ -63,12 +69,13 @@ def raw_fields(records: DataFrame, payload: str = "payload") -> DataFrame:
     return records.withColumn("_fields", F.from_json(payload, "map<string, variant>"))
 
 
-def ingest(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES, targets: Mapping[str, str] = TARGET_TYPES, keep: Sequence[str] = ("file_id", "agency", "period", "received_at", "row_no"), only: Sequence[str] | None = None) -> DataFrame:
+def ingest(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES, targets: Mapping[str, str] = TARGET_TYPES, keep: Sequence[str] = ("file_id", "agency", "period", "received_at", "row_no"), only: Sequence[str] | None = None, origin: bool = False) -> DataFrame:
     """Records as the target columns (typed), the ``keep`` columns and ``_rescued`` (JSON object or null).
 
     A record that is no JSON object has null targets and its text under ``_malformed``. Nulls stay null; an object or
     array where a scalar is expected is rescued under its own key. ``keep`` wins over a target of the same name.
-    ``only`` names the concepts the caller wants; keys of others are then neither read nor rescued.
+    ``only`` names the concepts the caller wants; keys of others are then neither read nor rescued. ``origin`` adds
+    ``_origin``: for each entry the concept, the key as written, the JSON kind and whether it was rescued.
     """
     fields = raw_fields(records, payload)
     if only is not None:
@@ -93,7 +100,8 @@ def ingest(records: DataFrame, payload: str = "payload", aliases: Mapping[str, s
     left = F.filter("_entries", lambda e: ~F.coalesce(is_read(e), F.lit(False)))
     rest = F.to_json(F.map_from_entries(F.transform(left, lambda e: F.struct(e["key"], e["value"]))))
     rescued = F.when(F.col("_fields").isNull() & F.col(payload).isNotNull(), F.to_json(F.create_map(F.lit(MALFORMED), F.col(payload)))).when(F.size(left) > 0, rest)
-    return entries.select(*keep, *[c.alias(t) for t, c in out.items()], rescued.alias(RESCUED))
+    told = [F.transform("_entries", lambda e: F.struct(e["concept"], e["key"].alias("field"), e["kind"], (~F.coalesce(is_read(e), F.lit(False))).alias("rescued"))).alias(ORIGIN)] if origin else []
+    return entries.select(*keep, *[c.alias(t) for t, c in out.items()], rescued.alias(RESCUED), *told)
 
 
 def promote(table: DataFrame, fields: Mapping[str, str], aliases: Mapping[str, str] = ALIASES) -> DataFrame:
@@ -143,52 +151,94 @@ def latest_delivery(records: DataFrame, keys: Sequence[str] = ("file_id", "row_n
     return best.select(*[c if c in keys else F.col(f"_r.{c}").alias(c) for c in records.columns])
 
 
-def field_profile(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES) -> DataFrame:
+def field_profile(ingested: DataFrame) -> DataFrame:
     """(agency, period, file_id, concept, field, kind): the fields of each file with their JSON type.
 
-    Only the last delivery of a file speaks for it. A field that is null throughout has a null type. Where values of one
-    field differ in type, the most frequent one counts (ties by name).
+    ``ingested`` is a table of ``ingest`` with its ``_origin``, so read and rescued entries both count. Only the last
+    delivery of a file speaks for it. A field that is null throughout has a null type. Where values of one field differ
+    in type, the most frequent one counts (ties by name).
     """
-    cells = raw_fields(records, payload).select("agency", "period", "file_id", "received_at", F.explode("_fields").alias("field", "_v")).select("agency", "period", "file_id", "received_at", "field", json_kind(F.col("_v")).alias("kind"))
-    counted = cells.groupBy("agency", "period", "file_id", "received_at", "field", "kind").count()
-    best = counted.groupBy("agency", "period", "file_id", "received_at", "field").agg(F.max(F.when(F.col("kind").isNotNull(), F.struct("count", "kind")))["kind"].alias("kind"))
-    last = Window.partitionBy("file_id")
+    cells = ingested.select("agency", "period", "file_id", "received_at", F.inline(ORIGIN))
+    counted = cells.groupBy("agency", "period", "file_id", "received_at", "concept", "field", "kind").count()
+    best = counted.groupBy("agency", "period", "file_id", "received_at", "concept", "field").agg(F.max(F.when(F.col("kind").isNotNull(), F.struct("count", "kind")))["kind"].alias("kind"))
+    last = Window.partitionBy("file_id")  # over a file's fields, not its rows
     newest = best.withColumn("_last", F.max("received_at").over(last)).where(F.col("received_at").eqNullSafe(F.col("_last")))
-    return newest.select("agency", "period", "file_id", concept_of(F.col("field"), aliases).alias("concept"), "field", "kind")
+    return newest.select("agency", "period", "file_id", "concept", "field", "kind")
 
 
-def drift(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES) -> DataFrame:
-    """(file_id, change, old_field, new_field): each file against the agency's latest earlier delivered period.
-
-    ``added`` and ``removed`` name one field and leave the other empty; ``renamed`` is any difference in spelling;
-    ``retyped`` another JSON type of the non-null values. A field both renamed and retyped gives both rows. A concept
-    under several keys in one file is compared key by key, equal spellings first. The first file of an agency, and
-    files of unreadable records only, have no rows.
-    """
-    profile = field_profile(records, payload, aliases)
+def compare_files(profile: DataFrame) -> DataFrame:
+    """(file_id, before, change, old_field, new_field, old_concept, new_concept, old_kind, new_kind) by registered concepts."""
     files = profile.groupBy("agency", "period", "file_id").agg(F.collect_set(F.struct("concept", "field", "kind")).alias("now"))
-    before = Window.partitionBy("agency").orderBy("period", "file_id")
-    pairs = files.withColumn("was", F.lag("now").over(before)).where(F.col("was").isNotNull())
+    order = Window.partitionBy("agency").orderBy("period", "file_id")
+    pairs = files.withColumns({"was": F.lag("now").over(order), "before": F.lag("file_id").over(order)}).where(F.col("was").isNotNull())
     # a file has as many fields as its header, so these arrays are small whatever the number of rows
     same = lambda x, side: F.exists(side, lambda y: (y["concept"] == x["concept"]) & (y["field"] == x["field"]))
     rank = lambda side, other: F.array_sort(F.filter(side, lambda x: ~same(x, other)))
-    split = pairs.select(
-        "file_id",
-        F.filter("now", lambda x: same(x, F.col("was"))).alias("kept"),
-        rank("now", F.col("was")).alias("came"),
-        rank("was", F.col("now")).alias("went"),
-        "was",
-    )
+    split = pairs.select("file_id", "before", "was", F.filter("now", lambda x: same(x, F.col("was"))).alias("kept"), rank("now", F.col("was")).alias("came"), rank("was", F.col("now")).alias("went"))
     numbered = lambda side: F.transform(side, lambda x: F.struct(x["concept"].alias("concept"), x["field"].alias("field"), x["kind"].alias("kind"), F.size(F.filter(side, lambda y: (y["concept"] == x["concept"]) & (y["field"] < x["field"]))).alias("n")))
     split = split.withColumns({"came": numbered(F.col("came")), "went": numbered(F.col("went"))})
     partner = lambda x, side: F.get(F.filter(side, lambda y: (y["concept"] == x["concept"]) & (y["n"] == x["n"])), F.lit(0))
-    row = lambda change, old, new: F.struct(F.lit(change).alias("change"), old.alias("old_field"), new.alias("new_field"))
     twin = lambda x: F.get(F.filter("was", lambda y: (y["concept"] == x["concept"]) & (y["field"] == x["field"])), F.lit(0))
-    retyped = F.transform(F.filter("kept", lambda x: twin(x)["kind"] != x["kind"]), lambda x: row("retyped", x["field"], x["field"]))
+    nothing = F.struct(F.lit("").alias("field"), F.lit(None).cast("string").alias("concept"), F.lit(None).cast("string").alias("kind"))
+
+    def row(change: str, old: Column, new: Column) -> Column:
+        return F.struct(F.lit(change).alias("change"), *[x[k].alias(f"{side}_{k}") for side, x in (("old", old), ("new", new)) for k in ("field", "concept", "kind")])
+
+    retyped = F.transform(F.filter("kept", lambda x: twin(x)["kind"] != x["kind"]), lambda x: row("retyped", twin(x), x))
     moved = F.filter("came", lambda x: partner(x, F.col("went")).isNotNull())
-    renamed = F.transform(moved, lambda x: row("renamed", partner(x, F.col("went"))["field"], x["field"]))
-    renamed_typed = F.transform(F.filter(moved, lambda x: partner(x, F.col("went"))["kind"] != x["kind"]), lambda x: row("retyped", partner(x, F.col("went"))["field"], x["field"]))
-    added = F.transform(F.filter("came", lambda x: partner(x, F.col("went")).isNull()), lambda x: row("added", F.lit(""), x["field"]))
-    removed = F.transform(F.filter("went", lambda x: partner(x, F.col("came")).isNull()), lambda x: row("removed", x["field"], F.lit("")))
-    changes = F.concat(retyped, renamed, renamed_typed, added, removed)
-    return split.select("file_id", F.explode(changes).alias("x")).select("file_id", "x.change", "x.old_field", "x.new_field")
+    renamed = F.transform(moved, lambda x: row("renamed", partner(x, F.col("went")), x))
+    added = F.transform(F.filter("came", lambda x: partner(x, F.col("went")).isNull()), lambda x: row("added", nothing, x))
+    removed = F.transform(F.filter("went", lambda x: partner(x, F.col("came")).isNull()), lambda x: row("removed", x, nothing))
+    return split.select("file_id", "before", F.inline(F.concat(retyped, renamed, added, removed)))
+
+
+#: buckets of a field's values and of their shapes; likeness of two fields that record one thing
+BUCKETS, ALIKE = 256, 0.7
+
+
+def value_likeness(records: DataFrame, wanted: DataFrame, payload: str = "payload") -> DataFrame:
+    """(a_file, a, b_file, b, likeness) of pairs of fields by what they hold: shared mass of values and, counted double, of their shapes.
+
+    Every field becomes two histograms of fixed size, one of its values and one of their shapes (digits and letters
+    without which); only files of ``wanted`` pairs are read.
+    """
+    sides = wanted.select(F.col("a_file").alias("file_id"), F.col("a").alias("field")).unionByName(wanted.select(F.col("b_file").alias("file_id"), F.col("b").alias("field"))).distinct()
+    some = raw_fields(records.join(sides.select("file_id").distinct(), "file_id", "left_semi"), payload).select("file_id", F.explode("_fields").alias("field", "_v")).join(sides, ["file_id", "field"], "left_semi")
+    text = F.upper(F.trim(F.coalesce(F.try_variant_get("_v", "$", "string"), F.to_json("_v"))))
+    shape = F.regexp_replace(F.regexp_replace(F.substring(text, 1, 40), "[0-9]", "9"), "[A-Z]+", "A")
+    bucket = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("bucket"))
+    held = some.where(json_kind(F.col("_v")).isNotNull()).select("file_id", "field", F.explode(F.array(bucket("value", text), bucket("shape", shape))).alias("x"))
+    counts = held.groupBy("file_id", "field", "x.kind", "x.bucket").agg(F.count("*").alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("file_id", "field", "kind"))  # at most BUCKETS rows each
+    shares = counts.withColumn("share", share)
+    side = lambda x: shares.select(F.col("file_id").alias(f"{x}_file"), F.col("field").alias(x), "kind", "bucket", F.col("share").alias(f"{x}_share"))
+    both = wanted.join(side("a"), ["a_file", "a"]).join(side("b"), ["b_file", "b", "kind", "bucket"])
+    return both.groupBy("a_file", "a", "b_file", "b").agg((F.sum(F.least("a_share", "b_share") * F.when(F.col("kind") == "shape", 2).otherwise(1)) / 3).alias("likeness"))
+
+
+def drift(records: DataFrame, payload: str = "payload", aliases: Mapping[str, str] = ALIASES) -> DataFrame:
+    """(file_id, change, old_field, new_field): each file against the agency's latest earlier delivered period.
+
+    ``added`` and ``removed`` name one field and leave the other empty; ``renamed`` is any difference in spelling;
+    ``retyped`` another JSON type of the non-null values. A field both renamed and retyped gives both rows. A concept
+    under several keys in one file is compared key by key, equal spellings first. Where a key is in no registry of
+    spellings, a field that went and one that came are one renamed field if their values are alike and each is the
+    other's best. The first file of an agency, and files of unreadable records only, have no rows.
+    """
+    changes = cut(compare_files(field_profile(ingest(records, payload, aliases, origin=True))))
+    registered = sorted(set(aliases.values()))
+    open_ends = changes.where(F.col("change").isin("added", "removed"))
+    side = lambda change, x: open_ends.where(F.col("change") == change).select("file_id", "before", F.col(f"{x}_field").alias(x), F.col(f"{x}_concept").isin(registered).alias(f"{x}_known"), F.col(f"{x}_kind"))
+    met = side("removed", "old").join(side("added", "new"), ["file_id", "before"]).where(~(F.col("old_known") & F.col("new_known")))
+    wanted = cut(met.select(F.col("before").alias("a_file"), F.col("old").alias("a"), F.col("file_id").alias("b_file"), F.col("new").alias("b"), "old_kind", "new_kind"))
+    plain = changes.select("file_id", "change", "old_field", "new_field").unionByName(changes.where((F.col("change") == "renamed") & (F.col("old_kind") != F.col("new_kind"))).select("file_id", F.lit("retyped").alias("change"), "old_field", "new_field"))
+    if wanted.isEmpty():  # every key is registered, or nothing went that could have come back
+        return plain
+    like = value_likeness(records, wanted.select("a_file", "a", "b_file", "b"), payload).where(F.col("likeness") >= ALIKE)
+    best = lambda x: F.row_number().over(Window.partitionBy("b_file", x).orderBy(F.col("likeness").desc(), "a", "b"))
+    mutual = cut(like.withColumns({"_a": best("a"), "_b": best("b")}).where("_a = 1 AND _b = 1").join(wanted, ["a_file", "a", "b_file", "b"]))
+    found = mutual.select(F.col("b_file").alias("file_id"), F.lit("renamed").alias("change"), F.col("a").alias("old_field"), F.col("b").alias("new_field"))
+    found = found.unionByName(mutual.where(F.col("old_kind") != F.col("new_kind")).select(F.col("b_file").alias("file_id"), F.lit("retyped").alias("change"), F.col("a").alias("old_field"), F.col("b").alias("new_field")))
+    gone = mutual.select(F.col("b_file").alias("file_id"), F.lit("removed").alias("change"), F.col("a").alias("old_field"), F.lit("").alias("new_field"))
+    come = mutual.select(F.col("b_file").alias("file_id"), F.lit("added").alias("change"), F.lit("").alias("old_field"), F.col("b").alias("new_field"))
+    return plain.join(gone.unionByName(come), ["file_id", "change", "old_field", "new_field"], "left_anti").unionByName(found)

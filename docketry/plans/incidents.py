@@ -180,7 +180,7 @@ def exact_links(spark, sf_dir):
 
 def field_fingerprints(spark, sf_dir):
     """Order-insensitive fingerprint of the fields of each file."""
-    fields = drift.field_profile(table(spark, sf_dir, "agency_files"))
+    fields = drift.field_profile(drift.ingest(table(spark, sf_dir, "agency_files"), origin=True))
     return fields.groupBy("file_id").agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_set(schema.header_key(F.col("field")))), "|"), 256), 1, 12).alias("fingerprint"))
 
 

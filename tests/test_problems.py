@@ -31,6 +31,17 @@ def test_drift_names_each_change(spark, rows):
     ])
 
 
+def test_drift_infers_renames_of_unregistered_keys(spark, rows):
+    rnd = random.Random(7)
+    value = lambda: {"kind": rnd.choice(["Shop", "House", "Street"]), "cost": rnd.randint(100, 99999), "flag": rnd.random() < 0.1}
+    old = [("x", "2026-01", 0, n, {"qqKind": v["kind"], "zCost": v["cost"], "noted": v["flag"]}) for n in range(200) for v in [value()]]
+    new = [("x", "2026-02", 0, n, {"sort of place": v["kind"], "amt": str(v["cost"]), "colour": "deep blue %d" % n}) for n in range(200) for v in [value()]]
+    assert rows(drift.drift(files(spark, *old, *new))) == sorted([
+        ("x_2026-02", "renamed", "qqKind", "sort of place"), ("x_2026-02", "renamed", "zCost", "amt"), ("x_2026-02", "retyped", "zCost", "amt"),
+        ("x_2026-02", "removed", "noted", ""), ("x_2026-02", "added", "", "colour"),
+    ])
+
+
 def test_drift_takes_the_last_delivery_and_survives_bad_payloads(spark, rows):
     df = files(spark, ("x", "2026-01", 0, 1, {"a": 1}), ("x", "2026-02", 0, 1, {"b": 1}), ("x", "2026-02", 3, 1, {"a": 1}), ("x", "2026-02", 3, 2, "no json"), ("x", "2026-02", 3, 3, None), ("x", "2026-02", 3, 4, "[1]"))
     assert rows(drift.drift(df)) == []
