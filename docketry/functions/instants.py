@@ -24,7 +24,7 @@ LOCAL_ZONE = "America/New_York"
 _TIME = r"(?:(?:T|\s*,?\s+(?:at\s+)?)(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?\s*([AaPp]\.?[Mm]\.?)?\s*([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?)?$"
 _MONTH_NAME = r"([A-Za-z]{3,9})\.?"
 
-#: shape name -> (pattern, positions of year, month, day, month name, hour, minute, second, half of day, zone)
+#: shape name -> (pattern, groups of year, month, day, open first and second number, month name; the time's five follow)
 _SHAPES = {
     "iso": (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TIME, dict(y=1, m=2, d=3, t=4)),
     "basic": (r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(\d{2})?(?:[.,]\d+)?()\s*([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?)?$", dict(y=1, m=2, d=3, t=4)),
@@ -32,11 +32,10 @@ _SHAPES = {
     "day_name": (r"^(?:[A-Za-z]{3,9}\.?,?\s+)?(\d{1,2})(?:\s+|-)" + _MONTH_NAME + r"(?:\s*,?\s+|-)(\d{4}|\d{2})" + _TIME, dict(y=3, mon=2, d=1, t=4)),
     "name_day": (r"^(?:[A-Za-z]{3,9}\.?,\s+)?" + _MONTH_NAME + r"\s+(\d{1,2})(?:st|nd|rd|th)?\s*,?\s+(\d{4}|\d{2})" + _TIME, dict(y=3, mon=1, d=2, t=4)),
 }
-
-
-def _group(text: Column, pattern: str, index: int) -> Column:
-    found = F.regexp_extract(text, pattern, index)
-    return F.when(found != "", found)
+_ROLES = ("y", "m", "d", "a", "b", "mon")
+_CLOCK = ("hh", "mi", "ss", "half", "zone")
+#: beginning of whatever may be a date with numbers only, whose order is open
+OPEN_ORDER = r"^\s*\d{1,2}[/.-]\d{1,2}[/.-]\d"
 
 
 def _month_number(name: Column) -> Column:
@@ -45,42 +44,29 @@ def _month_number(name: Column) -> Column:
     return F.when(where > 0, where.cast("int"))
 
 
-def shape_of(text: Column) -> Column:
-    """Name of the first shape the trimmed text has, else null."""
-    out = F.when(text.rlike(r"^\d{13}$"), "epoch_ms").when(text.rlike(r"^\d{10}$"), "epoch_s")
-    for name, (pattern, _) in _SHAPES.items():
-        out = out.when(text.rlike(pattern), name)
-    return out
-
+def pieces_of(text: Column) -> Column:
+    """Array of the name of the first shape the trimmed text has and of what its groups hold; null without a shape.
 
-def parts_of(text: Column, shape: Column) -> Column:
-    """Struct of the numbers the shape holds: ``y, m, d`` or, for numeric dates, ``y, a, b`` with the order left open."""
+    One replacement writes out all groups at once, so a value is matched once by its own pattern.
+    """
+    out = F.when(text.rlike(r"^\d{13}$"), F.array(F.lit("epoch_ms"))).when(text.rlike(r"^\d{10}$"), F.array(F.lit("epoch_s")))
+    for name, (pattern, at) in _SHAPES.items():
+        held = [f"${at[role]}" if role in at else "" for role in _ROLES] + [f"${at['t'] + k}" for k in range(len(_CLOCK))]
+        out = out.when(text.rlike(pattern), F.split(F.regexp_replace(text, pattern, "|".join([name, *held])), r"\|"))
+    return out
 
-    def pick(role: str, kind: str = "int") -> Column:
-        out = None
-        for name, (pattern, at) in _SHAPES.items():
-            if role in at:
-                value = _group(text, pattern, at[role])
-            elif role in ("hh", "mi", "ss", "half", "zone"):
-                value = _group(text, pattern, at["t"] + ("hh", "mi", "ss", "half", "zone").index(role))
-            else:
-                continue
-            out = F.when(shape == name, value) if out is None else out.when(shape == name, value)
-        return out.cast(kind)
 
-    year = pick("y")
-    month_name = pick("mon", "string")
+def parts_of(pieces: Column) -> Column:
+    """Struct of the numbers a shape holds: ``y, m, d`` or, for numeric dates, ``y, a, b`` with the order left open."""
+    piece = lambda role: F.nullif(F.get(pieces, F.lit(1 + (*_ROLES, *_CLOCK).index(role))), F.lit(""))
+    number = lambda role: piece(role).cast("int")
+    year = number("y")
     return F.struct(
         F.when(year < 100, year + 2000).otherwise(year).alias("y"),
-        F.coalesce(pick("m"), _month_number(month_name)).alias("m"),
-        pick("d").alias("d"),
-        pick("a").alias("a"),
-        pick("b").alias("b"),
-        pick("hh").alias("hh"),
-        pick("mi").alias("mi"),
-        pick("ss").alias("ss"),
-        F.lower(F.substring(pick("half", "string"), 1, 1)).alias("half"),
-        F.upper(pick("zone", "string")).alias("zone"),
+        F.coalesce(number("m"), _month_number(piece("mon"))).alias("m"),
+        *[number(role).alias(role) for role in ("d", "a", "b", "hh", "mi", "ss")],
+        F.lower(F.substring(piece("half"), 1, 1)).alias("half"),
+        F.upper(piece("zone")).alias("zone"),
     )
 
 

@@ -12,25 +12,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions import instants as parse
+from docketry.lineage import cut
 
-#: EM rounds; the shares move monotonically and the choice needs only their order, which the first rounds settle.
-EM_ROUNDS = 20
-#: keys over which the rows of one source are spread when they meet its model
+#: sources whose model rows may be broadcast (about 50 bytes each); more meet their values by a salted join
+BROADCAST_SOURCES = 100_000
+#: keys over which the rows of one source are spread when they meet its model by a join
 SALTS = 32
 
 
-def reading_shares(both: Column, month_only: Column, day_only: Column, prior_month: Column, rounds: int = EM_ROUNDS) -> Column:
-    """Share of the month-first reading after ``rounds`` of EM on counts of (both valid, only one valid) values."""
-    total = both + month_only + day_only
-    step = lambda share, _: F.when(total > 0, (month_only + both * share) / total).otherwise(share)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), prior_month, step)
+def reading_shares(both: Column, month_only: Column, day_only: Column, prior_month: Column) -> Column:
+    """Share of the month-first reading to which EM converges on counts of (both valid, only one valid) values.
+
+    A round sets the share s to (month_only + both * s) / all; its fixpoint is month_only / (month_only + day_only),
+    whatever the start. Without a decisive value every share is a fixpoint, so the prior stays.
+    """
+    decisive = month_only + day_only
+    return F.when(decisive > 0, month_only / decisive).otherwise(prior_month)
 
 
 def recognise(values: DataFrame, value: str = "value") -> DataFrame:
     """Add ``shape``, ``parts`` and the validity of both numeric readings. Null or unrecognised text has a null shape."""
     text = F.regexp_replace(F.trim(F.col(value)), r"\s+", " ")
-    shaped = values.withColumn("_text", text).withColumn("shape", parse.shape_of(F.col("_text")))
-    parts = shaped.withColumn("parts", parse.parts_of(F.col("_text"), F.col("shape")))
+    shaped = values.withColumn("_text", text).withColumn("_pieces", parse.pieces_of(F.col("_text")))
+    parts = shaped.withColumns({"shape": F.get("_pieces", F.lit(0)), "parts": parse.parts_of(F.col("_pieces"))}).drop("_pieces")
     p = F.col("parts")
     numeric = F.col("shape") == "numeric"
     return parts.withColumns({
@@ -51,6 +55,15 @@ def source_model(evidence: DataFrame, source: str = "source", prior: Column | fl
     return counts.select(source, reading_shares(*d, start).alias("month_share"), *("both", "month_only", "day_only"))
 
 
+def _with_model(values: DataFrame, model: DataFrame, source: str) -> DataFrame:
+    """Values with their source's share, without a row or shuffle too many for a source that holds a third of them."""
+    shares = cut(model.select(source, "month_share"))
+    if shares.count() <= BROADCAST_SOURCES:
+        return values.join(F.broadcast(shares), source, "left")
+    copies = shares.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return values.withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(SALTS)).cast("int")).join(copies, [source, "_salt"], "left").drop("_salt")
+
+
 def resolve(values: DataFrame, model: DataFrame, source: str = "source", fixed_month_first: Column | None = None, tie: float = 1e-9) -> DataFrame:
     """Add ``epoch_s``, ``reading``, ``posterior`` and ``ambiguous`` to recognised values.
 
@@ -62,9 +75,7 @@ def resolve(values: DataFrame, model: DataFrame, source: str = "source", fixed_m
     month_first = share >= 0.5 - tie
     if fixed_month_first is not None:
         month_first = fixed_month_first | month_first
-    # a source may hold a third of all rows: spread it over SALTS keys, against as many copies of its one model row
-    copies = model.select(source, "month_share", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    joined = values.withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(SALTS)).cast("int")).join(copies, [source, "_salt"], "left").drop("_salt")
+    joined = _with_model(values, model, source)
     p = F.col("parts")
     month = F.when(F.col("shape") == "numeric", F.when(month_first, p["a"]).otherwise(p["b"])).otherwise(p["m"])
     day = F.when(F.col("shape") == "numeric", F.when(month_first, p["b"]).otherwise(p["a"])).otherwise(p["d"])
@@ -91,6 +102,9 @@ def normalise_instants(values: DataFrame, fixed_month_first: Column | None = Non
     results; an empty table gives an empty one. ``evidence`` may hold further dated values of the same sources that
     help to settle their order but are not themselves wanted.
     """
-    known = recognise(values)
-    model = source_model(known if evidence is None else known.select("source", "parts", "month_ok", "day_ok").unionByName(recognise(evidence).select("source", "parts", "month_ok", "day_ok")))
-    return resolve(known, model, fixed_month_first=fixed_month_first).drop("_text", "parts", "month_ok", "day_ok")
+    seen = values.select("source", "value") if evidence is None else values.select("source", "value").unionByName(evidence.select("source", "value"))
+    if fixed_month_first is not None:
+        seen = seen.where(~F.coalesce(fixed_month_first, F.lit(False)))
+    # only dates of numbers alone say anything about their order
+    model = source_model(recognise(seen.where(F.col("value").rlike(parse.OPEN_ORDER))))
+    return resolve(recognise(values), model, fixed_month_first=fixed_month_first).drop("_text", "parts", "month_ok", "day_ok", "month_share")

@@ -54,19 +54,23 @@ def p5_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proximity.in_regions(located(spark, sf_dir), table(spark, sf_dir, "sites").select(F.col("site_id").alias("region_id"), F.array(ring).alias("rings")))
 
 
-def p7_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every value with its instant, reading, posterior and whether it stays ambiguous."""
+def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
     incidents = table(spark, sf_dir, "incidents")
     fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in ("date_reported", "clearance_date")])
-    own = incidents.select(F.col("incident_id").alias("record_key"), F.explode(fields).alias("x")).select("record_key", F.concat(F.lit("incidents."), "x.field").alias("source"), "x.field", "x.value").where(F.col("value").isNotNull()).distinct()
+    own = incidents.select(F.col("incident_id").alias("record_key"), F.inline(fields)).select("record_key", F.concat(F.lit("incidents."), "field").alias("source"), "field", "value").where(F.col("value").isNotNull())
     agency = _agency_values(spark, sf_dir, ("date_reported", "date_occurred")).where(F.col("value").isNotNull())
-    reported = agency.where(F.col("concept") == "date_reported").select("record_key", "source", F.lit("date_reported").alias("field"), "value").distinct()
+    reported = agency.where(F.col("concept") == "date_reported").select("record_key", "source", F.lit("date_reported").alias("field"), "value")
     occurred = agency.where(F.col("concept") == "date_occurred").select("source", "value")
     return instants.normalise_instants(own.unionByName(reported), fixed_month_first=F.col("source").startswith("incidents."), evidence=occurred)
 
 
+def p7_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value with its instant, reading, posterior and whether it stays ambiguous."""
+    return _instants(spark, sf_dir).distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p7_instants(spark, sf_dir).where(F.col("epoch_s").isNotNull()).select("record_key", "field", "epoch_s").distinct()
+    return _instants(spark, sf_dir).where(F.col("epoch_s").isNotNull()).select("record_key", "field", "epoch_s").distinct()
 
 
 QUERIES = {"p1_found": p1_found, "p1_ingested": p1_ingested, "p4_found": p4_found, "p5_found": p5_found, "p5_regions": p5_regions, "p7_found": p7_found, "p7_instants": p7_instants}

@@ -146,3 +146,18 @@ def test_sources_settle_their_own_order(spark):
     local = lambda k: datetime.fromtimestamp(got[k]["epoch_s"], timezone.utc).astimezone(ZoneInfo("America/New_York")).strftime("%m-%d")
     assert [local(str(i)) for i in range(6)] == ["05-13", "05-04", "05-13", "04-05", "04-05", "05-04"]
     assert [got[str(i)]["ambiguous"] for i in range(6)] == [False, False, False, False, True, False]
+
+
+def test_shares_are_the_fixpoint_of_em(spark):
+    counts = spark.createDataFrame([(1000.0, 1.0, 0.0), (10.0, 3.0, 1.0), (5.0, 0.0, 0.0)], "b double, m double, d double")
+    got = [r["s"] for r in counts.select(instants.reading_shares(F.col("b"), F.col("m"), F.col("d"), F.lit(0.5)).alias("s")).collect()]
+    for (b, m, d), s in zip([(1000, 1, 0), (10, 3, 1), (5, 0, 0)], got):
+        assert s == pytest.approx((m + b * s) / (m + b + d)) and s == {1000: 1.0, 10: 0.75, 5: 0.5}[b]
+
+
+def test_sources_too_many_to_broadcast_give_the_same(spark, rows, monkeypatch):
+    data = [("d", "13.05.2026"), ("d", "04.05.2026"), ("m", "05/13/2026"), ("m", "04/05/2026"), ("open", "04/05/2026"), (None, "04/05/2026"), ("d", "04.05.2026")]
+    df = spark.createDataFrame([(s, str(i), "f", v, "x") for i, (s, v) in enumerate(data)], "source string, record_key string, field string, value string, parts string").drop("parts")
+    want = rows(instants.normalise_instants(df), "record_key", "epoch_s", "reading", "posterior", "ambiguous")
+    monkeypatch.setattr(instants, "BROADCAST_SOURCES", 0)
+    assert rows(instants.normalise_instants(df), "record_key", "epoch_s", "reading", "posterior", "ambiguous") == want and len(want) == 7
