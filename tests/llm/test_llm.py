@@ -221,6 +221,20 @@ def test_match_without_labels(spark):
     assert matching.match(df.limit(0)).count() == 0
 
 
+def test_crowded_keys_are_parted_and_lose_no_match(spark):
+    rnd = random.Random(5)
+    base = people(rnd, 60)
+    crowd = [(f, la, d, "500 FORT FENCE DR", "00211") for f, la, d, _, _ in base]
+    dated = [(f, la, "1900-01-01", ad, z) for f, la, _, ad, z in people(rnd, 60)]
+    a = [(f"A{i}", "a", *p, "") for i, p in enumerate(crowd + dated)]
+    b = [(f"B{i}", "b", f, la[:-1] if i % 3 == 0 else la, "" if i % 3 == 1 and i < 60 else d, ad, z, "") for i, (f, la, d, ad, z) in enumerate(crowd + dated)]
+    prepared = matching.prepare(spark.createDataFrame(a + b, PERSON))
+    pairs = lambda hot: {(r["a"]["id"], r["b"]["id"]) for r in matching.candidate_pairs(prepared, hot).collect()}
+    every, parted = pairs(10**9), pairs(5)
+    truth = {(f"A{i}", f"B{i}") for i in range(120)}
+    assert truth <= every and truth <= parted < every and len(parted) < len(every) / 3
+
+
 def test_transitivity_lowers_the_weaker_link(spark):
     k = lambda s, i: {"source": s, "id": i}
     df = spark.createDataFrame([(k("a", "1"), k("b", "2"), 0.99), (k("a", "1"), k("b", "3"), 0.7), (k("a", "4"), k("b", "5"), 0.9)], "a struct<source:string,id:string>, b struct<source:string,id:string>, p double")
