@@ -191,7 +191,10 @@ def lookalike_lines(documents: DataFrame, key: str = "doc_id", text: str = "text
 
 
 def normalise_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document with its text in one consistent form and the number of changed lines; null stays null."""
+    """Every document with its text in one consistent form and the number of changed lines; null stays null.
+
+    One scan: a page of plain ASCII passes through Python as a null and comes out as it was.
+    """
 
     @F.pandas_udf("struct<normal string, n int>")
     def rewrite(texts):
@@ -199,14 +202,16 @@ def normalise_text(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
         rows = []
         for t in texts:
+            if t is None:
+                rows.append((None, 0))
+                continue
             lines = t.split("\n")
             n = 0
             for at, _, normal in changed_lines(t):
                 lines[at] = normal
                 n += 1
-            rows.append(("\n".join(lines), n))
+            rows.append(("\n".join(lines) if n else None, n))
         return pd.DataFrame(rows, columns=["normal", "n"])
 
-    suspect = documents.where(_suspect(text)).withColumn("_x", rewrite(text))
-    plain = documents.where(~F.coalesce(_suspect(text), F.lit(False)))
-    return suspect.select(key, F.col("_x.normal").alias("normal"), F.col("_x.n").alias("n_changed")).unionByName(plain.select(key, F.col(text).alias("normal"), F.lit(0).alias("n_changed")))
+    read = documents.select(key, text, F.when(_suspect(text), F.col(text)).alias("_odd")).withColumn("_x", rewrite("_odd"))
+    return read.select(key, F.coalesce("_x.normal", text).alias("normal"), F.coalesce("_x.n", F.lit(0)).alias("n_changed"))

@@ -84,7 +84,9 @@ def mix(documents: DataFrame, targets: DataFrame, budget: int | None = None, see
         budget = feasible_budget([(float(r["tokens"]), r["share"], r["cap"]) for r in held])
     bins = max(1, max((r["n"] for r in held), default=0) // BIN_ROWS + 1)
     queued = running_tokens(counted.join(F.broadcast(wanted), "source", "left_semi"), key, bins, seed).join(F.broadcast(wanted), "source")  # wanted: the target list
-    copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("cap"))))
+    # the k-th copy of a source ends behind k - 1 whole passes over it, so copies that begin past the budget are never made
+    reach = F.least(F.col("cap").cast("double"), F.floor(F.lit(float(budget)) / F.col("total")) + 2).cast("int")
+    copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(reach, F.lit(1)))))
     finish = (F.col("total") * (F.col("copy") - 1) + F.col("cum")) / F.col("share")
     step = max(1.0, budget / TIME_BINS)
     timed = copies.select(key, "source", "copy", "n_tokens", finish.alias("finish")).withColumn("_bin", F.floor(F.col("finish") / step))
