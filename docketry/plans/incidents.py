@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from docketry import schema
 from docketry.functions import text
 from docketry.functions.similarity import jaro_winkler
-from docketry.operators import contract, drift, jurisdiction, linkage, monthly, restatement, timeliness
+from docketry.operators import contract, drift, evaluation, gates, jurisdiction, linkage, monthly, restatement, timeliness
 from docketry.session import table
+from docketry.sources import people
 
 AS_OF = date(2026, 10, 1)
 
@@ -31,15 +32,23 @@ LINE_CONTRACT = {
 }
 
 
+REGION = {"region": "NORTH KESTRIA|UNITED STATES|USA", "region_code": "N K"}
+#: limits of the batch and what is known of the pull it came by
+LIMITS = {"batch_gates": {"max_error_rate": 0.01, "require_reconciled_count": True, "max_staleness_days": 10, "expected_fingerprint": "76fd6e617cc7"}, "deadlines": {"month_settle_days": 30}, "volume": {"trailing_months": 6, "robust_z_warn": 2.5}}
+FETCHED, REVIEWED = "2026-10-01T12:00:00", {"2026-02": "known low"}
+
+
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "incident_snapshots")
 
 
 def _last(spark: SparkSession, sf_dir: str, back: int = 0) -> DataFrame:
-    """The rows of the last snapshot, or of one before it."""
-    rows = _snapshots(spark, sf_dir)
-    names = rows.agg(F.sort_array(F.collect_set("snapshot"), asc=False).alias("_n"))
-    return rows.crossJoin(F.broadcast(names)).where(F.col("snapshot") == F.get("_n", F.lit(back))).drop("_n")  # names is one row
+    """The rows of the last snapshot, or of one before it, by a literal that reaches the scan."""
+    rows, name = _snapshots(spark, sf_dir), None
+    for _ in range(back + 1):
+        older = rows if name is None else rows.where(F.col("snapshot") < name)
+        name = older.agg(F.max("snapshot")).first()[0]
+    return rows.where(F.col("snapshot").eqNullSafe(F.lit(name).cast("string")) & F.lit(name is not None))
 
 
 def map_columns_orders(spark, sf_dir):
@@ -56,7 +65,9 @@ def monthly_counts(spark, sf_dir):
 
 
 def trailing_12_change(spark, sf_dir):
-    return monthly.trailing_12_change(monthly_counts(spark, sf_dir), "property").select("last_12", "prior_12", F.round("pct_change", 6).alias("pct_change"), "window_from", "window_to")
+    months = monthly_counts(spark, sf_dir)
+    every = [monthly.trailing_12_change(months, g).withColumn("group", F.lit(g)) for g in monthly.GROUPS]
+    return every[0].unionByName(every[1]).select("group", "last_12", "prior_12", F.round("pct_change", 6).alias("pct_change"), "window_from", "window_to")
 
 
 def unfounded_share(spark, sf_dir):
@@ -131,14 +142,37 @@ def diff_headline(spark, sf_dir):
     return restatement.headline(_diff(spark, sf_dir))
 
 
+def _people(spark, sf_dir):
+    return table(spark, sf_dir, "synth_a").unionByName(table(spark, sf_dir, "synth_b"))
+
+
+def batch_gates(spark, sf_dir):
+    """Verdicts on the last snapshot: audited, and compared with the one before."""
+    rows = _last(spark, sf_dir)
+    manifest = {"server_count": 1, "rows_fetched": 1, "fetched_at": FETCHED, "schema_fingerprint": schema.schema_fingerprint(rows.columns)}
+    return gates.audit(rows, CONTRACT | LIMITS, AS_OF, manifest, _diff(spark, sf_dir), REVIEWED)[1].select("gate", "status")
+
+
+def file_gates(spark, sf_dir):
+    """Which agency files came late, by their first delivery."""
+    files = table(spark, sf_dir, "agency_files").groupBy("file_id", "period").agg(F.min("received_at").alias("received"))
+    return gates.file_deadline(files)
+
+
+def link_quality(spark, sf_dir):
+    """Linkage of two labelled sources of invented persons, as many as synth_a has records, at the published threshold."""
+    n = table(spark, sf_dir, "synth_a").count()
+    return evaluation.evaluate(*people.labelled_sources(spark, n, seed=2026), fixed_threshold=0.65).quality
+
+
 def normalized_people(spark, sf_dir):
-    people = table(spark, sf_dir, "synth_a")
-    return people.select("rec_id", text.normalize_person_name(F.col("last_name")).alias("n")).select("rec_id", "n.name", "n.suffix")
+    names = _people(spark, sf_dir).select("rec_id", *[text.normalize_person_name(F.col(f"{c}_name")).alias(c) for c in ("first", "last")])
+    return names.select("rec_id", F.col("first.name").alias("first"), F.col("first.suffix").alias("first_suffix"), F.col("last.name").alias("last"), F.col("last.suffix").alias("last_suffix"))
 
 
 def normalized_addresses(spark, sf_dir):
-    people = table(spark, sf_dir, "synth_b")
-    return people.select("rec_id", text.normalize_address(F.col("address")).alias("a")).select("rec_id", "a.street", "a.unit")
+    every = _people(spark, sf_dir).select(F.col("rec_id").alias("id"), "address").unionByName(table(spark, sf_dir, "incidents").select(F.col("incident_id").alias("id"), "address"))
+    return every.select("id", text.normalize_address(F.col("address")).alias("a")).select("id", "a.street", "a.unit")
 
 
 def normalized_agencies(spark, sf_dir):
@@ -147,7 +181,12 @@ def normalized_agencies(spark, sf_dir):
 
 def jurisdiction_crosswalk(spark, sf_dir):
     cities = table(spark, sf_dir, "incidents").select(F.col("city").alias("raw"))
-    return jurisdiction.resolve_places(cities, table(spark, sf_dir, "gazetteer"), region="NORTH KESTRIA|UNITED STATES|USA", region_code="N K")
+    return jurisdiction.resolve_places(cities, table(spark, sf_dir, "gazetteer"), **REGION).select("raw", "canonical", "method", F.round("score", 6).alias("score"), "rows")
+
+
+def jurisdictions(spark, sf_dir):
+    """Every incident with the place its city resolves to."""
+    return jurisdiction.resolve_column(table(spark, sf_dir, "incidents"), table(spark, sf_dir, "gazetteer"), **REGION)[0].select("incident_id", "city", "jurisdiction")
 
 
 def jurisdiction_methods(spark, sf_dir):
@@ -174,8 +213,7 @@ def person_links(spark, sf_dir):
 
 def exact_links(spark, sf_dir):
     """Exact-join baseline on names and birth date."""
-    a, b = (linkage.prepare(table(spark, sf_dir, n)).select(F.col("rec_id").alias(f"rec_id_{s}"), "first", "last", "dob") for n, s in (("synth_a", "a"), ("synth_b", "b")))
-    return a.join(b, ["first", "last", "dob"]).select("rec_id_a", "rec_id_b")
+    return evaluation.exact_links(table(spark, sf_dir, "synth_a"), table(spark, sf_dir, "synth_b"))
 
 
 def field_fingerprints(spark, sf_dir):
@@ -189,7 +227,7 @@ QUERIES = {
     for f in (
         map_columns_orders, offense_groups, monthly_counts, trailing_12_change, unfounded_share, volume_anomalies, daily_gaps, file_deadlines, settled_months, freshness, validate_exceptions,
         audit_summary, quarantine_rate, clean_incidents, snapshot_added, snapshot_removed, restatements, diff_changed_fields, diff_headline, normalized_people, normalized_addresses,
-        normalized_agencies, jurisdiction_crosswalk, jurisdiction_methods, jaro_winkler_pairs, blocking_stats, person_links, exact_links, field_fingerprints,
+        normalized_agencies, batch_gates, file_gates, link_quality, jurisdictions, jurisdiction_crosswalk, jurisdiction_methods, jaro_winkler_pairs, blocking_stats, person_links, exact_links, field_fingerprints,
     )
 }
 
@@ -207,14 +245,73 @@ _ERRORS = f"""SELECT DISTINCT coalesce(incident_id, '<null>') AS k FROM (SELECT
 _DIFF = f"""o AS (SELECT * FROM {_BEFORE} WHERE date_reported IS NOT NULL QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY date_reported NULLS FIRST, offense_code NULLS FIRST, clearance_status NULLS FIRST) = 1),
     n AS (SELECT * FROM {_LAST} WHERE date_reported <= (SELECT max(date_reported) FROM {_BEFORE}) QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY date_reported NULLS FIRST, offense_code NULLS FIRST, clearance_status NULLS FIRST) = 1)"""
 
+_STREETS = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in text.STREET_WORDS.items()) + "}"
+_SQUASH = "trim(regexp_replace(regexp_replace({}, '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g'))"
+_PERSON = "string_split(" + _SQUASH.format("upper(strip_accents(replace(replace(coalesce({}, ''), '-', ' '), '''', '')))") + ", ' ')"
+_UNITS = r"(?:\b(?:APT|APARTMENT|UNIT|STE|SUITE|LOT|RM|ROOM)\b|#)\s*#?\s*([A-Z0-9-]+)\b"
+_CONTRACT_ROWS = f"""WITH l AS (SELECT *, count(*) OVER (PARTITION BY incident_id) AS copies, coalesce(incident_id, '<null>') AS k, date_reported::VARCHAR AS shown, try_strptime(substr(incident_id, 1, 8), '%Y%m%d')::DATE AS told FROM {_LAST})
+    SELECT k AS record_key, 'required_null' AS rule, 'ERROR' AS severity, 'incident_id' AS "column", NULL AS value FROM l WHERE incident_id IS NULL
+    UNION ALL SELECT k, 'format', 'WARN', 'incident_id', incident_id FROM l WHERE NOT regexp_full_match(incident_id, '[0-9]{{8}}-[0-9]{{4}}-[0-9]{{2}}')
+    UNION ALL SELECT k, 'required_null', 'ERROR', 'date_reported', NULL FROM l WHERE date_reported IS NULL
+    UNION ALL SELECT k, 'future_date', 'ERROR', 'date_reported', shown FROM l WHERE date_reported > TIMESTAMP '2026-10-02'
+    UNION ALL SELECT k, 'implausibly_old', 'ERROR', 'date_reported', shown FROM l WHERE date_reported < TIMESTAMP '2000-01-01'
+    UNION ALL SELECT k, 'required_null', 'ERROR', 'offense_code', NULL FROM l WHERE offense_code IS NULL
+    UNION ALL SELECT k, 'format', 'WARN', 'offense_code', offense_code FROM l WHERE NOT regexp_full_match(offense_code, '[0-9]{{2}}[A-Z]|[0-9]{{3}}')
+    UNION ALL SELECT k, 'out_of_range', 'WARN', 'zip', zip FROM l WHERE try_cast(zip AS DOUBLE) < 200 OR try_cast(zip AS DOUBLE) > 600
+    UNION ALL SELECT k, 'id_date_mismatch', 'WARN', 'incident_id', incident_id FROM l WHERE told IS NOT NULL AND told IS DISTINCT FROM date_reported::DATE
+    UNION ALL SELECT k, 'not_local_midnight', 'WARN', 'date_reported', shown FROM l WHERE date_reported <> date_trunc('day', date_reported)
+    UNION ALL SELECT k, 'duplicate_key', 'ERROR', 'incident_id', incident_id FROM l WHERE incident_id IS NOT NULL AND copies > 1"""
+#: the tiers, fuzzy ones by rows of the table of longest common subsequences
+_CROSSWALK = """RECURSIVE raws AS (SELECT coalesce(city, '') AS raw, count(*) AS rows FROM incidents GROUP BY 1),
+    c AS (SELECT raw, rows, nullif(regexp_extract(upper(raw), '\\b([0-9]{5})(?:-?[0-9]{4})?\\b', 1), '') AS zip5,
+        trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(raw), '[0-9]+', ' ', 'g'), '\\b(?:NORTH KESTRIA|UNITED STATES|USA)\\b', ' ', 'g'), ',?\\s*\\bN\\.?\\s*K\\b\\.?', ' ', 'g'), '[^A-Z]+', ' ', 'g')) AS name FROM raws),
+    forms AS (SELECT name, min(canonical) AS exact FROM (SELECT canonical, canonical AS name FROM gazetteer UNION SELECT canonical, alias FROM gazetteer WHERE alias IS NOT NULL) GROUP BY 1),
+    zips AS (SELECT zip5, min(canonical) AS by_zip FROM (SELECT DISTINCT canonical, unnest(zips) AS zip5 FROM gazetteer) GROUP BY 1 HAVING count(*) = 1),
+    listed AS (SELECT DISTINCT canonical FROM gazetteer), open AS (SELECT DISTINCT name FROM c WHERE name <> '' AND name NOT IN (SELECT name FROM forms)),
+    begun AS (SELECT name, count(*) AS n, min(canonical) AS by_prefix FROM open, listed WHERE length(canonical) >= 6 AND starts_with(name, canonical) GROUP BY 1),
+    dp(a, b, i, row) AS (SELECT name, canonical, 0, list_transform(range(length(canonical)), lambda x: 0) FROM open, listed
+        UNION ALL SELECT a, b, i + 1, list_transform(range(1, length(b) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(row[k], (CASE WHEN k > 1 THEN row[k - 1] ELSE 0 END) + (substr(a, i + 1, 1) = substr(b, k, 1))::INTEGER)))) FROM dp WHERE i < length(a)),
+    ratio AS (SELECT a AS name, b AS canonical, 200.0::DOUBLE * row[length(b)] / (length(a) + length(b)) AS r FROM dp WHERE i = length(a)),
+    ranked AS (SELECT *, row_number() OVER w AS k, coalesce(lead(r) OVER w, 0) AS second FROM ratio WINDOW w AS (PARTITION BY name ORDER BY r DESC, canonical)),
+    x AS (SELECT c.raw, c.rows, CASE WHEN exact IS NOT NULL THEN 'exact' WHEN begun.n = 1 THEN 'prefix' WHEN length(c.name) >= 4 AND r >= 80 AND r - second >= 10 THEN 'fuzzy' WHEN by_zip IS NOT NULL THEN 'zip' ELSE 'unresolved' END AS method, exact, by_prefix, canonical, r, by_zip
+        FROM c LEFT JOIN forms USING (name) LEFT JOIN begun USING (name) LEFT JOIN (SELECT * FROM ranked WHERE k = 1) USING (name) LEFT JOIN zips USING (zip5)),
+    crosswalk AS (SELECT raw, CASE method WHEN 'exact' THEN exact WHEN 'prefix' THEN by_prefix WHEN 'fuzzy' THEN canonical WHEN 'zip' THEN by_zip END AS canonical, method, round(CASE method WHEN 'exact' THEN 100 WHEN 'prefix' THEN 80 WHEN 'fuzzy' THEN r WHEN 'zip' THEN 70 ELSE 0 END::DOUBLE, 6) AS score, rows FROM x)"""
+
 ORACLES = {
+    "validate_exceptions": _CONTRACT_ROWS,
+    "diff_headline": f"""WITH {_DIFF}, g AS (SELECT count(*) FILTER (coalesce(a.n, 0) <> coalesce(b.n, 0)) AS restated FROM (SELECT date_trunc('month', date_reported) AS m, {_GROUP} AS g, count(*) AS n FROM o GROUP BY 1, 2) a FULL JOIN (SELECT date_trunc('month', date_reported) AS m, {_GROUP} AS g, count(*) AS n FROM n GROUP BY 1, 2) b USING (m, g))
+        SELECT (SELECT count(*) FROM n ANTI JOIN o USING (incident_id)) AS added, (SELECT count(*) FROM o ANTI JOIN n USING (incident_id)) AS removed,
+        (SELECT count(*) FROM o JOIN n USING (incident_id) WHERE o.date_reported IS DISTINCT FROM n.date_reported OR o.offense_code IS DISTINCT FROM n.offense_code OR o.clearance_status IS DISTINCT FROM n.clearance_status) AS changed, (SELECT restated FROM g) AS restated""",
+    "normalized_addresses": f"""WITH s AS (SELECT id, replace(regexp_replace(upper(strip_accents(coalesce(address, ''))), '[^\\x00-\\x7F]', '', 'g'), '.', '') AS p FROM (SELECT rec_id AS id, address FROM synth_a UNION ALL SELECT rec_id, address FROM synth_b UNION ALL SELECT incident_id, address FROM incidents))
+        SELECT id, array_to_string(list_transform(string_split({_SQUASH.format(f"replace(regexp_replace(p, '{_UNITS}', ''), '#', ' ')")}, ' '), lambda w: coalesce({_STREETS}[w], w)), ' ') AS street, nullif(regexp_extract(p, '{_UNITS}', 1), '') AS unit FROM s""",
+    "jurisdiction_crosswalk": f"WITH {_CROSSWALK} SELECT * FROM crosswalk",
+    "jurisdiction_methods": f"WITH {_CROSSWALK} SELECT method, sum(rows)::BIGINT AS rows FROM crosswalk GROUP BY 1",
+    "jurisdictions": f"WITH {_CROSSWALK} SELECT incident_id, city, canonical AS jurisdiction FROM incidents JOIN crosswalk ON coalesce(city, '') = raw",
+    "exact_links": f"""WITH p AS (SELECT rec_id, s, list_filter({_PERSON.format('first_name')}, lambda x: x NOT IN ('JR','SR','II','III','IV')) AS f, array_to_string(list_filter({_PERSON.format('last_name')}, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS last, CASE WHEN dob = 'nan' THEN '' ELSE coalesce(dob, '') END AS dob
+            FROM (SELECT 'a' AS s, * FROM synth_a UNION ALL SELECT 'b', * FROM synth_b)), q AS (SELECT rec_id, s, coalesce(f[1], '') AS first, last, dob FROM p)
+        SELECT a.rec_id AS rec_id_a, b.rec_id AS rec_id_b FROM q a JOIN q b ON a.s = 'a' AND b.s = 'b' AND a.first = b.first AND a.last = b.last AND a.dob = b.dob""",
+    "field_fingerprints": """WITH f AS (SELECT file_id, payload FROM agency_files QUALIFY received_at = max(received_at) OVER (PARTITION BY file_id)),
+        k AS (SELECT DISTINCT file_id, trim(regexp_replace(lower(trim(k)), '[^a-z0-9]+', '_', 'g'), '_') AS h FROM (SELECT file_id, unnest(json_keys(payload)) AS k FROM f WHERE json_valid(payload)))
+        SELECT file_id, substr(sha256(string_agg(h, '|' ORDER BY h)), 1, 12) AS fingerprint FROM k GROUP BY 1""",
+    "file_gates": """WITH f AS (SELECT file_id, period, min(received_at) AS r FROM agency_files GROUP BY 1, 2), d AS (SELECT *, ((period || '-01')::DATE + INTERVAL 1 MONTH + INTERVAL 14 DAY)::DATE AS due FROM f), l AS (SELECT *, greatest(date_diff('day', due, r::DATE), 0) AS late FROM d)
+        SELECT 'file_deadline' AS gate, CASE WHEN late > 0 THEN 'WARN' ELSE 'PASS' END AS status, file_id || ': period ' || period || ' due ' || due || CASE WHEN late > 0 THEN ', days late: ' || late ELSE '' END AS detail FROM l""",
+    "batch_gates": f"""WITH {_DIFF}, l AS (SELECT * FROM {_LAST}), e AS ({_ERRORS}),
+        m AS (SELECT date_trunc('month', date_reported)::DATE AS month, count(*)::DOUBLE / day(last_day(date_trunc('month', date_reported)::DATE)) AS per_day FROM l WHERE date_reported IS NOT NULL GROUP BY date_trunc('month', date_reported)),
+        s AS (SELECT *, median(per_day) OVER w AS med, mad(per_day) OVER w AS mad, row_number() OVER (ORDER BY month) AS k FROM m WHERE date_diff('day', last_day(month), DATE '2026-10-01') >= 30 WINDOW w AS (ORDER BY month ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)),
+        v AS (SELECT month FROM s WHERE k > 6 AND abs(0.6745 * (per_day - med) / (CASE WHEN mad = 0 THEN 1 ELSE mad END)) > 2.5),
+        d AS (SELECT count(DISTINCT date_reported::DATE) AS seen, date_diff('day', min(date_reported)::DATE, max(date_reported)::DATE) + 1 AS every FROM l),
+        r AS (SELECT count(*) AS n FROM (SELECT date_trunc('month', date_reported) AS m, {_GROUP} AS g, count(*) AS n FROM o GROUP BY 1, 2) a FULL JOIN (SELECT date_trunc('month', date_reported) AS m, {_GROUP} AS g, count(*) AS n FROM n GROUP BY 1, 2) b USING (m, g) WHERE coalesce(a.n, 0) <> coalesce(b.n, 0))
+        SELECT 'error_rate' AS gate, CASE WHEN (SELECT count(*) FROM e)::DOUBLE / greatest((SELECT count(*) FROM l), 1) <= 0.01 THEN 'PASS' ELSE 'FAIL' END AS status
+        UNION ALL SELECT 'reconciled_count', 'PASS' UNION ALL SELECT 'schema_fingerprint', 'WARN'
+        UNION ALL SELECT 'freshness', CASE WHEN floor((epoch(TIMESTAMP '2026-10-01 12:00:00') - epoch((SELECT max(date_reported) FROM l))) / 86400) <= 10 THEN 'PASS' ELSE 'FAIL' END
+        UNION ALL SELECT 'volume_anomaly', CASE WHEN strftime(month, '%Y-%m') = '2026-02' THEN 'REVIEWED' ELSE 'WARN' END FROM v UNION ALL SELECT 'volume_anomaly', 'PASS' WHERE (SELECT count(*) FROM v) = 0
+        UNION ALL SELECT 'daily_gaps', CASE WHEN seen = every THEN 'PASS' ELSE 'FAIL' END FROM d UNION ALL SELECT 'restatements', CASE WHEN n = 0 THEN 'PASS' ELSE 'WARN' END FROM r""",
     "map_columns_orders": "SELECT o_orderkey AS incident_id, o_orderdate::DATE AS date_reported, o_orderstatus AS offense_code FROM orders",
     "offense_groups": f"SELECT snapshot, {_GROUP} AS offense_group, count(*) AS n FROM incident_snapshots GROUP BY 1, 2",
     "monthly_counts": _MONTHLY,
-    "trailing_12_change": f"""WITH m AS ({_MONTHLY}), r AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS k FROM m WHERE settled)
-        SELECT sum(property) FILTER (k <= 12)::BIGINT AS last_12, sum(property) FILTER (k BETWEEN 13 AND 24)::BIGINT AS prior_12,
-        round(100.0 * (sum(property) FILTER (k <= 12) - sum(property) FILTER (k BETWEEN 13 AND 24))::DOUBLE / (sum(property) FILTER (k BETWEEN 13 AND 24))::DOUBLE, 6) AS pct_change,
-        min(month) FILTER (k <= 12) AS window_from, max(month) FILTER (k <= 12) AS window_to FROM r HAVING count(*) >= 24""",
+    "trailing_12_change": " UNION ALL ".join(f"""SELECT '{g}' AS "group", sum({g}) FILTER (k <= 12)::BIGINT AS last_12, sum({g}) FILTER (k BETWEEN 13 AND 24)::BIGINT AS prior_12,
+        round(100.0 * (sum({g}) FILTER (k <= 12) - sum({g}) FILTER (k BETWEEN 13 AND 24))::DOUBLE / (sum({g}) FILTER (k BETWEEN 13 AND 24))::DOUBLE, 6) AS pct_change,
+        min(month) FILTER (k <= 12) AS window_from, max(month) FILTER (k <= 12) AS window_to FROM (SELECT *, row_number() OVER (ORDER BY month DESC) AS k FROM ({_MONTHLY}) WHERE settled) HAVING count(*) >= 24""" for g in monthly.GROUPS),
     "unfounded_share": f"""SELECT count(*) AS n, count(*) FILTER (upper(coalesce(clearance_status, '')) = 'UNFOUNDED') AS unfounded,
         round(100.0::DOUBLE * count(*) FILTER (upper(coalesce(clearance_status, '')) = 'UNFOUNDED') / greatest(count(*), 1), 6) AS pct FROM incident_snapshots WHERE {_GROUP} IN ('violent', 'property')""",
     "volume_anomalies": """WITH m AS (SELECT date_trunc('month', o_orderdate)::DATE AS month, count(*) AS n FROM orders GROUP BY 1),
@@ -241,8 +338,9 @@ ORACLES = {
         SELECT month, "group", coalesce(old, 0) AS old, coalesce(new, 0) AS new, coalesce(new, 0) - coalesce(old, 0) AS delta FROM a FULL JOIN b USING (month, "group")""",
     "diff_changed_fields": f"""WITH {_DIFF}, j AS (SELECT o.incident_id, strftime(o.date_reported, '%Y-%m-%d %H:%M:%S') AS a1, strftime(n.date_reported, '%Y-%m-%d %H:%M:%S') AS a2, o.offense_code AS b1, n.offense_code AS b2, o.clearance_status AS c1, n.clearance_status AS c2 FROM o JOIN n USING (incident_id))
         SELECT incident_id, 'date_reported' AS field, a1 AS old, a2 AS new FROM j WHERE a1 IS DISTINCT FROM a2 UNION ALL SELECT incident_id, 'offense_code', b1, b2 FROM j WHERE b1 IS DISTINCT FROM b2 UNION ALL SELECT incident_id, 'clearance_status', c1, c2 FROM j WHERE c1 IS DISTINCT FROM c2""",
-    "normalized_people": """WITH s AS (SELECT rec_id, string_split(trim(regexp_replace(regexp_replace(upper(replace(replace(coalesce(last_name, ''), '-', ' '), '''', '')), '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')), ' ') AS w FROM synth_a)
-        SELECT rec_id, array_to_string(list_filter(w, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS name, coalesce(list_filter(w, lambda x: x IN ('JR','SR','II','III','IV'))[1], '') AS suffix FROM s""",
+    "normalized_people": f"""WITH s AS (SELECT rec_id, {_PERSON.format('first_name')} AS f, {_PERSON.format('last_name')} AS l FROM (SELECT rec_id, first_name, last_name FROM synth_a UNION ALL SELECT rec_id, first_name, last_name FROM synth_b))
+        SELECT rec_id, array_to_string(list_filter(f, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS first, coalesce(list_filter(f, lambda x: x IN ('JR','SR','II','III','IV'))[1], '') AS first_suffix,
+        array_to_string(list_filter(l, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS last, coalesce(list_filter(l, lambda x: x IN ('JR','SR','II','III','IV'))[1], '') AS last_suffix FROM s""",
     "normalized_agencies": """WITH s AS (SELECT trim(regexp_replace(regexp_replace(upper(replace(replace(coalesce(agency, ''), '''', ''), '-', ' ')), '[^A-Z0-9# ]+', ' ', 'g'), ' +', ' ', 'g')) AS a FROM incidents),
         e AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(a,
         '\\bSHERIFF OFFICE\\b', 'SHERIFFS OFFICE', 'g'), '\\bCMPD\\b', 'CHARLOTTE MECKLENBURG POLICE DEPARTMENT', 'g'), '\\bPOLICE DEPT\\b', 'POLICE DEPARTMENT', 'g'), '\\bDEPT\\b', 'DEPARTMENT', 'g'), '\\bCNTY\\b', 'COUNTY', 'g'), '\\bUNIV\\b', 'UNIVERSITY', 'g'),
