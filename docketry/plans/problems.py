@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.functions.instants import ZONE_OFFSETS
 from docketry.operators import drift, instants, proximity, snapshots
+from docketry.schema import ALIASES
 from docketry.session import table
 
 #: box outside which a delivered coordinate is no location
@@ -86,7 +88,65 @@ _POINTS = """
             SELECT incident_id AS record_key, lat, lon FROM incidents
             UNION ALL SELECT a.record_key, a.x, b.x FROM d a JOIN d b USING (record_key) WHERE a.axis = 'lat' AND b.axis = 'lon') WHERE lat BETWEEN 34.9 AND 35.6 AND lon BETWEEN -81.2 AND -80.5)"""
 
+_SPELLINGS = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in ALIASES.items()) + ") AS al(spelled, concept)"
+_KEY = "trim(regexp_replace(lower(trim({})), '[^a-z0-9]+', '_', 'g'), '_')"
+_PARTED = _KEY.format("regexp_replace(trim({}), '([a-z0-9])([A-Z])', '\\1_\\2', 'g')")
+#: every entry of the agency records with its concept
+_ENTRIES = f"""
+        r AS (SELECT * FROM agency_files WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+        k AS (SELECT *, unnest(json_keys(payload)) AS field FROM r),
+        names AS (SELECT field, coalesce(a.concept, b.concept, parted) AS concept FROM (SELECT DISTINCT field, {_KEY.format('field')} AS key, {_PARTED.format('field')} AS parted FROM k) d
+            LEFT JOIN {_SPELLINGS.replace('AS al', 'AS a')} ON a.spelled = d.key LEFT JOIN {_SPELLINGS.replace('AS al', 'AS b')} ON b.spelled = d.parted),
+        entries AS (SELECT agency, period, file_id, row_no, received_at, k.field, concept, json_type(payload, '$."' || k.field || '"') AS jt, payload ->> ('$."' || k.field || '"') AS value FROM k JOIN names USING (field))"""
+_TIME = r"(?:(?:T|\s*,?\s+(?:at\s+)?)(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?\s*([AaPp]\.?[Mm]\.?)?\s*([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?)?$"
+_CLOCK = "'hh', 'mi', 'ss', 'half', 'zone'"
+#: shape, pattern and the names of its groups; numeric dates once for each mark, as there is no reference back
+_READINGS = [
+    ("iso", r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TIME, "'y', 'm', 'd'"),
+    ("basic", r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(\d{2})?(?:[.,]\d+)?()\s*([A-Za-z]{1,4}|[+-]\d{2}:?\d{2})?)?$", "'y', 'm', 'd'"),
+    *(("numeric", rf"^(\d{{1,2}})[{c}](\d{{1,2}})[{c}](\d{{4}}|\d{{2}})" + _TIME, "'a', 'b', 'y'") for c in "/.-"),
+    ("name", r"^(?:[A-Za-z]{3,9}\.?,?\s+)?(\d{1,2})(?:\s+|-)([A-Za-z]{3,9})\.?(?:\s*,?\s+|-)(\d{4}|\d{2})" + _TIME, "'d', 'mon', 'y'"),
+    ("name", r"^(?:[A-Za-z]{3,9}\.?,\s+)?([A-Za-z]{3,9})\.?\s+(\d{1,2})(?:st|nd|rd|th)?\s*,?\s+(\d{4}|\d{2})" + _TIME, "'mon', 'd', 'y'"),
+]
+_ZONES = "MAP {" + ", ".join(f"'{a}': {b}" for a, b in ZONE_OFFSETS.items()) + "}"
+_READ = "\n        UNION ALL ".join(
+    f"SELECT record_key, source, field, {k} AS rank, '{shape}' AS shape, " + ", ".join(f"x.{g}" if f"'{g}'" in groups + _CLOCK else f"'' AS {g}" for g in ("y", "m", "d", "a", "b", "mon", "hh", "mi", "ss", "half", "zone"))
+    + f" FROM (SELECT *, regexp_extract(t, '{pattern}', [{groups}, {_CLOCK}]) AS x FROM v WHERE regexp_matches(t, '{pattern}'))"
+    for k, (shape, pattern, groups) in enumerate(_READINGS)
+)
+_DAY = "try_cast(lpad({}::VARCHAR, 4, '0') || '-' || lpad({}::VARCHAR, 2, '0') || '-' || lpad({}::VARCHAR, 2, '0') AS DATE)"
+_P7 = f"""
+        WITH {_ENTRIES},
+        v AS (SELECT *, trim(regexp_replace(trim(value), '\\s+', ' ', 'g')) AS t FROM (
+            SELECT incident_id AS record_key, 'incidents' AS source, 'date_reported' AS field, date_reported AS value FROM incidents
+            UNION ALL SELECT incident_id, 'incidents', 'clearance_date', clearance_date FROM incidents
+            UNION ALL SELECT file_id || '/' || row_no, file_id, concept, value FROM entries WHERE concept IN ('date_reported', 'date_occurred') AND jt NOT IN ('OBJECT', 'ARRAY', 'BOOLEAN', 'NULL')) WHERE value IS NOT NULL),
+        h AS ({_READ}),
+        g AS (SELECT record_key, source, field, shape, CASE WHEN y::INTEGER < 100 THEN y::INTEGER + 2000 ELSE y::INTEGER END AS y, coalesce(try_cast(m AS INTEGER), nullif(list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], lower(substr(mon, 1, 3))), 0)) AS m, try_cast(d AS INTEGER) AS d, try_cast(a AS INTEGER) AS a, try_cast(b AS INTEGER) AS b,
+            try_cast(hh AS INTEGER) AS hh, coalesce(try_cast(mi AS INTEGER), 0) AS mi, coalesce(try_cast(ss AS INTEGER), 0) AS ss, lower(substr(half, 1, 1)) AS half, upper(zone) AS zone FROM h),
+        o AS (SELECT source, count(*) FILTER ({_DAY.format('y', 'a', 'b')} IS NOT NULL AND {_DAY.format('y', 'b', 'a')} IS NULL) AS month_only, count(*) FILTER ({_DAY.format('y', 'b', 'a')} IS NOT NULL AND {_DAY.format('y', 'a', 'b')} IS NULL) AS day_only FROM g WHERE shape = 'numeric' GROUP BY 1),
+        w AS (SELECT record_key, field, zone, CASE WHEN shape <> 'numeric' THEN {_DAY.format('y', 'm', 'd')} WHEN source = 'incidents' OR coalesce(month_only >= day_only, true) THEN {_DAY.format('y', 'a', 'b')} ELSE {_DAY.format('y', 'b', 'a')} END AS day,
+            CASE WHEN mi > 59 OR ss > 59 THEN NULL WHEN hh IS NULL THEN 0 WHEN half <> '' THEN CASE WHEN hh BETWEEN 1 AND 12 THEN hh % 12 + CASE half WHEN 'p' THEN 12 ELSE 0 END END WHEN hh <= 23 THEN hh END * 3600 + mi * 60 + ss AS s FROM g LEFT JOIN o USING (source)),
+        i AS (SELECT record_key, field, zone, day::TIMESTAMP + to_seconds(s) AS wall FROM w WHERE day IS NOT NULL AND s IS NOT NULL),
+        z AS (SELECT *, epoch(wall AT TIME ZONE 'America/New_York')::BIGINT AS e, CASE WHEN zone ~ '^[+-]' THEN (CASE WHEN zone LIKE '-%' THEN -1 ELSE 1 END) * (substr(replace(zone, ':', ''), 2, 2)::INTEGER * 3600 + substr(replace(zone, ':', ''), 4, 2)::INTEGER * 60) ELSE {_ZONES}[zone] END AS off FROM i)
+        SELECT DISTINCT record_key, field, epoch_s FROM (
+            SELECT record_key, field, CASE WHEN zone = '' THEN CASE WHEN to_timestamp(e - 3600) AT TIME ZONE 'America/New_York' = wall THEN e - 3600 ELSE e END ELSE epoch(wall)::BIGINT - off END AS epoch_s FROM z
+            UNION ALL SELECT record_key, field, try_cast(t AS BIGINT) // 1000 FROM v WHERE t ~ '^[0-9]{{13}}$' UNION ALL SELECT record_key, field, try_cast(t AS BIGINT) FROM v WHERE t ~ '^[0-9]{{10}}$') WHERE epoch_s IS NOT NULL AND field <> 'date_occurred'"""
+
 ORACLES = {
+    "p1_found": f"""
+        WITH {_ENTRIES},
+        c AS (SELECT agency, period, file_id, field, concept, CASE jt WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN NULL ELSE 'number' END AS kind FROM entries QUALIFY received_at = max(received_at) OVER (PARTITION BY file_id)),
+        n AS (SELECT *, count(*) AS n FROM c GROUP BY ALL),
+        f AS (SELECT agency, period, file_id, field, concept, kind FROM n QUALIFY row_number() OVER (PARTITION BY agency, period, file_id, field ORDER BY kind IS NULL, n DESC, kind DESC) = 1),
+        p AS (SELECT file_id, lag(file_id) OVER (PARTITION BY agency ORDER BY period, file_id) AS before FROM (SELECT DISTINCT agency, period, file_id FROM f)),
+        now AS (SELECT p.file_id, field, concept, kind FROM p JOIN f USING (file_id) WHERE before IS NOT NULL), was AS (SELECT p.file_id, field, concept, kind FROM p JOIN f ON f.file_id = p.before),
+        came AS (SELECT *, row_number() OVER (PARTITION BY file_id, concept ORDER BY field) AS k FROM now ANTI JOIN was USING (file_id, concept, field)), went AS (SELECT *, row_number() OVER (PARTITION BY file_id, concept ORDER BY field) AS k FROM was ANTI JOIN now USING (file_id, concept, field)),
+        moved AS (SELECT file_id, w.field AS old, w.kind AS ok, c.field AS new, c.kind AS nk FROM came c FULL JOIN went w USING (file_id, concept, k))
+        SELECT file_id, 'retyped' AS change, field AS old_field, field AS new_field FROM now JOIN was USING (file_id, concept, field) WHERE now.kind <> was.kind
+        UNION ALL SELECT file_id, 'renamed', old, new FROM moved WHERE old IS NOT NULL AND new IS NOT NULL UNION ALL SELECT file_id, 'retyped', old, new FROM moved WHERE ok <> nk
+        UNION ALL SELECT file_id, 'added', '', new FROM moved WHERE old IS NULL UNION ALL SELECT file_id, 'removed', old, '' FROM moved WHERE new IS NULL""",
+    "p7_found": _P7,
     "p5_found": f"""
         WITH {_POINTS}
         SELECT DISTINCT p.record_key, s.site_id FROM p JOIN sites s ON s.lat BETWEEN p.lat - 0.01 AND p.lat + 0.01 AND s.lon BETWEEN p.lon - 0.01 AND p.lon + 0.01
