@@ -277,7 +277,27 @@ _CROSSWALK = """RECURSIVE raws AS (SELECT coalesce(city, '') AS raw, count(*) AS
         FROM c LEFT JOIN forms USING (name) LEFT JOIN begun USING (name) LEFT JOIN (SELECT * FROM ranked WHERE k = 1) USING (name) LEFT JOIN zips USING (zip5)),
     crosswalk AS (SELECT raw, CASE method WHEN 'exact' THEN exact WHEN 'prefix' THEN by_prefix WHEN 'fuzzy' THEN canonical WHEN 'zip' THEN by_zip END AS canonical, method, round(CASE method WHEN 'exact' THEN 100 WHEN 'prefix' THEN 80 WHEN 'fuzzy' THEN r WHEN 'zip' THEN 70 ELSE 0 END::DOUBLE, 6) AS score, rows FROM x)"""
 
+def _sounded(x: str) -> str:
+    """SQL of the four-place sound code of an upper-case word."""
+    codes = f"translate(regexp_replace({x}, '[^A-Z]', 'E', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    body = f"substr({codes}, 1, 1) || replace(substr({codes}, 2), '7', '')"
+    for d in "123456":
+        body = f"regexp_replace({body}, '{d}{d}+', '{d}', 'g')"
+    return f"CASE WHEN {x} = '' THEN '' WHEN NOT regexp_matches({x}, '^[A-Z]') THEN {x} ELSE substr({x}, 1, 1) || rpad(substr(replace(substr({body}, 2), '0', ''), 1, 3), 3, '0') END"
+
+
+_NICKNAMES = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in linkage.NICKNAMES.items()) + "}"
+_SUFFIX = "x IN ('JR','SR','II','III','IV')"
+
 ORACLES = {
+    "blocking_stats": f"""WITH s AS (SELECT 'a' AS s, * FROM synth_a UNION ALL SELECT 'b', * FROM synth_b),
+        t AS (SELECT s, rec_id, list_filter({_PERSON.format('first_name')}, lambda x: NOT {_SUFFIX}) AS f, array_to_string(list_filter({_PERSON.format('last_name')}, lambda x: NOT {_SUFFIX}), ' ') AS last, CASE WHEN dob = 'nan' THEN '' ELSE coalesce(dob, '') END AS dob, substr(coalesce(zip, ''), 1, 5) AS zip,
+            replace(regexp_replace(upper(strip_accents(coalesce(address, ''))), '[^\\x00-\\x7F]', '', 'g'), '.', '') AS p FROM s),
+        u AS (SELECT s, rec_id, last, dob, zip, coalesce({_NICKNAMES}[f[1]], f[1], '') AS canon, regexp_extract({_SQUASH.format(f"replace(regexp_replace(p, '{_UNITS}', ''), '#', ' ')")}, '^([0-9]+)', 1) AS number FROM t),
+        v AS (SELECT s, rec_id, unnest([CASE WHEN last <> '' AND trim(substr(dob, 1, 4)) <> '' THEN '0|' || {_sounded('last')} || '|' || substr(dob, 1, 4) END, CASE WHEN trim(substr(canon, 1, 1) || zip) <> '' THEN '1|' || substr(canon, 1, 1) || zip END,
+            CASE WHEN trim(number || zip) <> '' THEN '2|' || number || zip END, CASE WHEN trim(dob) <> '' THEN '3|' || dob END, CASE WHEN canon || last <> '' THEN '4|' || array_to_string(list_sort([{_sounded('canon')}, {_sounded('last')}]), ' ') END]) AS key FROM u),
+        c AS (SELECT count(*) AS candidates FROM (SELECT DISTINCT a.rec_id, b.rec_id FROM v a JOIN v b USING (key) WHERE a.s = 'a' AND b.s = 'b')), n AS (SELECT count(*) FILTER (s = 'a') AS n, count(*) FILTER (s = 'b') AS m FROM s)
+        SELECT candidates, n, m, round(1 - candidates::DOUBLE / (n * m), 5) AS reduction_ratio FROM c, n""",
     "validate_exceptions": _CONTRACT_ROWS,
     "diff_headline": f"""WITH {_DIFF}, g AS (SELECT count(*) FILTER (coalesce(a.n, 0) <> coalesce(b.n, 0)) AS restated FROM (SELECT date_trunc('month', date_reported) AS m, {_GROUP} AS g, count(*) AS n FROM o GROUP BY 1, 2) a FULL JOIN (SELECT date_trunc('month', date_reported) AS m, {_GROUP} AS g, count(*) AS n FROM n GROUP BY 1, 2) b USING (m, g))
         SELECT (SELECT count(*) FROM n ANTI JOIN o USING (incident_id)) AS added, (SELECT count(*) FROM o ANTI JOIN n USING (incident_id)) AS removed,
