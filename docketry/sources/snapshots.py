@@ -102,6 +102,12 @@ def accept(df: DataFrame, gates: DataFrame, root, manifest: Mapping, key: str =
     return True
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """One text file, replaced if it is there."""
+    root, _, name = str(path).rpartition("/")
+    _Folder(spark, root).write(text, name)
+
+
 def write_csv(df: DataFrame, path) -> None:
     """One directory of CSV parts with a header; order rows before where it matters."""
     df.write.mode("overwrite").option("header", True).csv(str(path))
