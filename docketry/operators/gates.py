@@ -43,19 +43,19 @@ def required_columns(exceptions: DataFrame) -> DataFrame:
 
 def reconciled_count(spark: SparkSession, manifest: Mapping) -> DataFrame:
     ok = manifest["server_count"] == manifest["rows_fetched"]
-    return spark.createDataFrame([("reconciled_count", "PASS" if ok else "FAIL", f"server {manifest['server_count']} vs fetched {manifest['rows_fetched']}")], GATE)
+    return spark.createDataFrame([("reconciled_count", "PASS" if ok else "FAIL", f"{manifest['rows_fetched']} rows came of {manifest['server_count']} the server counts")], GATE)
 
 
 def freshness(df: DataFrame, fetched_at: Column, max_days: int = 10, stamp: str = STAMP) -> DataFrame:
     """FAIL where the newest row is more than ``max_days`` whole days older than the pull, or no row has a date."""
     age = timeliness.freshness(df, stamp, fetched_at, max_days)
     shown = F.coalesce(F.date_format("newest", "yyyy-MM-dd"), F.lit("none"))
-    return _verdict(age, "freshness", _ok(F.coalesce(F.col("fresh"), F.lit(False)), "FAIL"), "newest record ", shown, ", ", F.coalesce(F.col("days").cast("string"), F.lit("unknown")), " days before pull")
+    return _verdict(age, "freshness", _ok(F.coalesce(F.col("fresh"), F.lit(False)), "FAIL"), "newest row: ", shown, "; age in days: ", F.coalesce(F.col("days").cast("string"), F.lit("unknown")))
 
 
 def fingerprint(spark: SparkSession, expected: str | None, found: str) -> DataFrame:
     """WARN where the headers changed; no row where none are expected."""
-    rows = [("schema_fingerprint", "PASS" if expected == found else "WARN", f"expected {expected}, got {found}")] if expected else []
+    rows = [("schema_fingerprint", "PASS" if expected == found else "WARN", f"headers were {expected}, are {found}")] if expected else []
     return spark.createDataFrame(rows, GATE)
 
 
@@ -98,7 +98,7 @@ def period_coverage(rows: DataFrame, file: str = "file_id", period: str = "perio
     """WARN for each file with rows dated outside its period (yyyy-MM); rows without date are outside."""
     inside = F.coalesce(F.date_format(stamp, "yyyy-MM") == F.col(period), F.lit(False))
     n = rows.groupBy(file, period).agg(F.count_if(~inside).alias("n"))
-    return _verdict(n, "period_coverage", _ok(F.col("n") == 0, "WARN"), F.col(file), ": ", F.col("n"), " rows fall outside ", F.col(period))
+    return _verdict(n, "period_coverage", _ok(F.col("n") == 0, "WARN"), F.col(file), ": ", F.col("n"), " rows are not of ", F.col(period))
 
 
 def passed(gates: DataFrame) -> DataFrame:

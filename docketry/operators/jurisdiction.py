@@ -27,7 +27,7 @@ def resolve_places(values: DataFrame, gazetteer: DataFrame, threshold: float = 8
     """(raw, canonical, method, score, rows): each distinct ``raw`` value resolved once; null counts as the empty text.
 
     ``gazetteer`` has ``canonical, alias, zips``. Every distinct cleaned name meets the names it may be by equi-joins:
-    those it begins with, and those that share a letter of its prefix, without which the similarity could not matter.
+    those it begins with, and those with which it shares enough letters for the similarity to matter.
     """
     raws = values.groupBy(F.coalesce("raw", F.lit("")).alias("raw")).agg(F.count("*").alias("rows")).withColumn("c", clean_place(F.col("raw"), region, region_code)).select("raw", "rows", "c.name", "c.zip5")
     listed = gazetteer.select("canonical").distinct()
@@ -39,14 +39,14 @@ def resolve_places(values: DataFrame, gazetteer: DataFrame, threshold: float = 8
     starts = open_names.crossJoin(F.broadcast(longest)).where((F.length("name") >= PREFIX) & (F.col("_longest") >= PREFIX))
     starts = starts.select("name", F.explode(F.transform(F.sequence(F.lit(PREFIX), F.least(F.length("name"), "_longest")), lambda n: F.substring("name", F.lit(1), n))).alias("canonical"))
     begun = starts.join(listed, "canonical").groupBy("name").agg(F.count("*").alias("prefixes"), F.min("canonical").alias("by_prefix"))
-    # a runner-up below threshold - lead never matters; of a pair above it least / (200 - least) of the name are shared,
-    # and what is no letter is a space
+    # a runner-up below threshold - lead never matters, and no subsequence is longer than what letters and spaces are shared
     least = threshold - lead
-    letters = counted_letters(F.col("name"))
-    shared = F.ceil(F.length("name") * (least / (200.0 - least)) - 1e-9) - (F.length("name") - F.size(letters))
-    head = F.slice(letters, 1, (F.size(letters) - F.greatest(shared, F.lit(1)) + 1).cast("int"))
-    met = open_names.where(F.size(letters) > 0).select("name", F.explode(head).alias("letter")).join(listed.select("canonical", F.explode(counted_letters(F.col("canonical"))).alias("letter")), "letter").select("name", "canonical").distinct()
-    scored = met.withColumn("ratio", indel_ratio(F.col("name"), F.col("canonical"))).where(F.col("ratio") >= least)
+    lettered = lambda df, c: df.select(c, F.explode(counted_letters(F.col(c))).alias("letter"))
+    spaces = lambda c: F.length(c) - F.size(counted_letters(F.col(c)))
+    shared = lettered(open_names, "name").join(lettered(listed, "canonical"), "letter").groupBy("name", "canonical").agg(F.count("*").alias("n"))
+    near = shared.where(F.col("n") + F.least(spaces("name"), spaces("canonical")) >= least / 200 * (F.length("name") + F.length("canonical")) - 1e-9)
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated: the rows are few bytes but much work
+    scored = near.select("name", "canonical").repartition(tasks, "name").withColumn("ratio", indel_ratio(F.col("name"), F.col("canonical")))
     rank = Window.partitionBy("name").orderBy(F.col("ratio").desc(), "canonical")
     lined = scored.withColumns({"k": F.row_number().over(rank), "second": F.coalesce(F.lead("ratio").over(rank), F.lit(0.0))})
     tops = lined.where("k = 1").select("name", F.struct("canonical", "ratio", "second").alias("top"))
