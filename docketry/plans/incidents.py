@@ -216,6 +216,43 @@ def exact_links(spark, sf_dir):
     return evaluation.exact_links(table(spark, sf_dir, "synth_a"), table(spark, sf_dir, "synth_b"))
 
 
+def _judged(spark, sf_dir):
+    """(links, truth, scored, second source): the exact links held against records that share birth date and zip."""
+    a, b = table(spark, sf_dir, "synth_a"), table(spark, sf_dir, "synth_b")
+    person = F.when((F.trim("dob") != "") & (F.trim("zip") != ""), F.concat_ws("/", "dob", "zip"))
+    a, b = (df.withColumn("pid", person) for df in (a, b))
+    b = b.withColumn("corruption", F.element_at(F.array(*map(F.lit, ("none", "typo", "typo+moved"))), (F.length(F.coalesce("last_name", F.lit(""))) % 3 + 1).cast("int")))
+    links, truth = evaluation.exact_links(a, b), evaluation.truth_pairs(a, b)
+    names = lambda df, s: df.select(F.col("rec_id").alias(f"rec_id_{s}"), F.coalesce(F.upper("last_name"), F.lit("")).alias(f"last_{s}"))
+    scored = links.join(names(a, "a"), "rec_id_a").join(names(b, "b"), "rec_id_b").where("last_a <> '' AND last_b <> ''").select("rec_id_a", "rec_id_b", F.round(jaro_winkler(F.col("last_a"), F.col("last_b")), 6).alias("score"))
+    return links, truth, scored, b
+
+
+def link_rates(spark, sf_dir):
+    links, truth, _, _ = _judged(spark, sf_dir)
+    return linkage.quality(links, truth)
+
+
+def wrong_links(spark, sf_dir):
+    links, truth, scored, _ = _judged(spark, sf_dir)
+    return evaluation.false_positives(links, truth, scored)
+
+
+def missed_links(spark, sf_dir):
+    links, truth, scored, _ = _judged(spark, sf_dir)
+    return evaluation.false_negatives(links, truth, scored)
+
+
+def link_recall(spark, sf_dir):
+    links, truth, _, b = _judged(spark, sf_dir)
+    return evaluation.recall_by_corruption(truth, links, b).select("corruption", "true_pairs", F.round("recall", 6).alias("recall"))
+
+
+def link_blocking(spark, sf_dir):
+    links, truth, _, _ = _judged(spark, sf_dir)
+    return evaluation.blocking(links, truth, table(spark, sf_dir, "synth_a").count(), table(spark, sf_dir, "synth_b").count())
+
+
 def field_fingerprints(spark, sf_dir):
     """Order-insensitive fingerprint of the fields of each file."""
     fields = drift.field_profile(drift.ingest(table(spark, sf_dir, "agency_files"), origin=True))
@@ -227,7 +264,7 @@ QUERIES = {
     for f in (
         map_columns_orders, offense_groups, monthly_counts, trailing_12_change, unfounded_share, volume_anomalies, daily_gaps, file_deadlines, settled_months, freshness, validate_exceptions,
         audit_summary, quarantine_rate, clean_incidents, snapshot_added, snapshot_removed, restatements, diff_changed_fields, diff_headline, normalized_people, normalized_addresses,
-        normalized_agencies, batch_gates, file_gates, link_quality, jurisdictions, jurisdiction_crosswalk, jurisdiction_methods, jaro_winkler_pairs, blocking_stats, person_links, exact_links, field_fingerprints,
+        normalized_agencies, batch_gates, file_gates, link_quality, link_rates, wrong_links, missed_links, link_recall, link_blocking, jurisdictions, jurisdiction_crosswalk, jurisdiction_methods, jaro_winkler_pairs, blocking_stats, person_links, exact_links, field_fingerprints,
     )
 }
 
@@ -287,9 +324,20 @@ def _sounded(x: str) -> str:
 
 
 _NICKNAMES = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in linkage.NICKNAMES.items()) + "}"
+_JUDGED = f"""s AS (SELECT 'a' AS s, * FROM synth_a UNION ALL SELECT 'b', * FROM synth_b),
+    p AS (SELECT rec_id, s, list_filter({_PERSON.format('first_name')}, lambda x: x NOT IN ('JR','SR','II','III','IV')) AS f, array_to_string(list_filter({_PERSON.format('last_name')}, lambda x: x NOT IN ('JR','SR','II','III','IV')), ' ') AS last, CASE WHEN dob = 'nan' THEN '' ELSE coalesce(dob, '') END AS dob, CASE WHEN trim(dob) <> '' AND trim(zip) <> '' THEN dob || '/' || zip END AS pid,
+        upper(coalesce(last_name, '')) AS name, ['none', 'typo', 'multiple'][length(coalesce(last_name, '')) % 3 + 1] AS corruption FROM s), q AS (SELECT *, coalesce(f[1], '') AS first FROM p),
+    links AS (SELECT DISTINCT a.rec_id AS rec_id_a, b.rec_id AS rec_id_b, CASE WHEN a.name <> '' AND b.name <> '' THEN round(jaro_winkler_similarity(a.name, b.name), 6) END AS score FROM q a JOIN q b ON a.s = 'a' AND b.s = 'b' AND a.first = b.first AND a.last = b.last AND a.dob = b.dob),
+    truth AS (SELECT DISTINCT a.rec_id AS rec_id_a, b.rec_id AS rec_id_b, b.corruption FROM q a JOIN q b ON a.s = 'a' AND b.s = 'b' AND a.pid = b.pid),
+    counts AS (SELECT (SELECT count(*) FROM links SEMI JOIN truth USING (rec_id_a, rec_id_b)) AS tp, (SELECT count(*) FROM links ANTI JOIN truth USING (rec_id_a, rec_id_b)) AS fp, (SELECT count(*) FROM truth ANTI JOIN links USING (rec_id_a, rec_id_b)) AS fn)"""
 _SUFFIX = "x IN ('JR','SR','II','III','IV')"
 
 ORACLES = {
+    "link_rates": f"WITH {_JUDGED}, r AS (SELECT tp, fp, fn, coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) AS p, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) AS r FROM counts) SELECT tp, fp, fn, round(p, 4) AS precision, round(r, 4) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 4) AS f1 FROM r",
+    "wrong_links": f"WITH {_JUDGED} SELECT rec_id_a, rec_id_b, score FROM links ANTI JOIN truth USING (rec_id_a, rec_id_b) WHERE score IS NOT NULL",
+    "missed_links": f"WITH {_JUDGED} SELECT rec_id_a, rec_id_b, NULL::DOUBLE AS score FROM truth ANTI JOIN links USING (rec_id_a, rec_id_b)",
+    "link_recall": f"WITH {_JUDGED} SELECT corruption, count(*) AS true_pairs, round(avg((l.rec_id_a IS NOT NULL)::INTEGER), 6) AS recall FROM truth t LEFT JOIN links l USING (rec_id_a, rec_id_b) GROUP BY 1",
+    "link_blocking": f"WITH {_JUDGED} SELECT tp + fp AS candidate_pairs, (SELECT count(*) FROM synth_a) * (SELECT count(*) FROM synth_b) AS all_pairs, round(1 - (tp + fp)::DOUBLE / ((SELECT count(*) FROM synth_a) * (SELECT count(*) FROM synth_b)), 5) AS reduction_ratio, round(tp::DOUBLE / greatest(tp + fn, 1), 4) AS pair_completeness FROM counts",
     "blocking_stats": f"""WITH s AS (SELECT 'a' AS s, * FROM synth_a UNION ALL SELECT 'b', * FROM synth_b),
         t AS (SELECT s, rec_id, list_filter({_PERSON.format('first_name')}, lambda x: NOT {_SUFFIX}) AS f, array_to_string(list_filter({_PERSON.format('last_name')}, lambda x: NOT {_SUFFIX}), ' ') AS last, CASE WHEN dob = 'nan' THEN '' ELSE coalesce(dob, '') END AS dob, substr(coalesce(zip, ''), 1, 5) AS zip,
             replace(regexp_replace(upper(strip_accents(coalesce(address, ''))), '[^\\x00-\\x7F]', '', 'g'), '.', '') AS p FROM s),
