@@ -113,7 +113,7 @@ def alike(a: str, b: str) -> float:
     if not la or not lb or abs(la - lb) > max(la, lb) * 0.45:
         return 0.0
     shared = sum(min(a.count(c), b.count(c)) for c in set(a))
-    if shared < 0.55 * max(la, lb):  # no alignment can reach a likeness that is ever asked for
+    if shared < 0.5 * max(la, lb):  # no alignment can reach a likeness that is ever asked for
         return 0.0
     row = list(range(lb + 1))
     for i in range(1, la + 1):
@@ -336,7 +336,7 @@ class _Lexicon:
         unknown = np.flatnonzero(equal < 0)
         for part in np.array_split(unknown, max(1, len(unknown) * max(1, self.own) // 2_000_000)):
             shared = np.bitwise_count(fresh[part, None, 1] & mine[None, :, 1]) + np.minimum(fresh[part, None, 2], mine[None, :, 2])
-            r, a = np.nonzero(shared >= 0.55 * np.maximum(fresh[part, None, 0], mine[None, :, 0]) - 1e-9)
+            r, a = np.nonzero(shared >= 0.5 * np.maximum(fresh[part, None, 0], mine[None, :, 0]) - 1e-9)
             r = part[r]
             value = _likeness([(self.index.vocabulary[k], names[n]) for k, n in zip(a, r)])
             least = np.where(np.maximum(mine[a, 5], fresh[r, 5]) > 4, 0.6, 0.5)

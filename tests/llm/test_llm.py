@@ -306,3 +306,9 @@ def test_same_building_does_not_depend_on_how_often_a_street_is_written(spark, g
         more = [(f"m{k}{x}", "left", f"{300 + k} {x} RD", "00211", None) for k in range(n) for x in ("MAPLE HOLLOW", "MAPEL HOLLOW")]
         df = spark.createDataFrame([("i1", "left", "12 MAPLE HOLLOW RD", "00211", None), ("r1", "right", "12 MAPEL HOLLOW ROAD", "211", None), ("r2", "right", "13 MAPEL HOLLOW ROAD", "211", None), *more], kind)
         assert rows(addresses.same_building(df, gazetteer)) == [("i1", "r1")]
+
+
+def test_short_words_with_one_letter_wrong_are_damage():
+    words = {"of", "on", "with"}
+    assert leakage.same_word("of", "mf", words) and leakage.same_word("with", "wxyh", words) and not leakage.same_word("of", "on", words) and not leakage.same_word("of", "zz", words)
+    assert abs(leakage._likeness([("of", "mf")])[0] - leakage.alike("of", "mf")) < 1e-9
