@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -221,6 +222,20 @@ def test_match_without_labels(spark):
     assert matching.match(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("times", [1, 300])
+def test_unknown_birth_dates_say_nothing_however_many_others_meet(spark, times):
+    r = lambda first="NADIA", last="KELLBERG", dob="19800103", number="500": SimpleNamespace(first=first, last=last, suffix="", dob=dob, number=number, street="FORT FENCE", direction="", type="", zip="00211")
+    same = [(r(), 560), (r(number="77"), 80), (r(first="N"), 65), (r(dob="19800104"), 50), (r(dob=""), 80), (r(dob="19800131"), 25)]
+    other = [(r(first=f, dob="19651130"), 30) for f in ("OSCAR", "VICTOR", "PAULA", "HELEN", "RASHID")] + [(r(last=x, dob="19651130"), 15) for x in ("MOND", "SAXTON")] + [(r(first="OSCAR", last=x, number="77"), 20) for x in ("MOND", "SAXTON", "TRAVISLE")]
+    rows = [(*matching.vector(r(), x), n) for x, n in same] + [(*matching.vector(r(), x), n * times) for x, n in other]
+    vectors = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in matching.FEATURES) + ", n long").coalesce(1).cache()
+    model = matching.maximise(vectors, ((F.col("first") >= 0.8) & (F.col("last") >= 0.8)).cast("double"))
+    for _ in range(6):
+        model = matching.maximise(vectors, matching.posterior_of(model))
+    got = [x["p"] for x in vectors.select(matching.posterior_of(model, final=True).alias("p")).collect()]
+    assert got[4] >= 0.5 and max(got[len(same) :]) < 0.5
+
+
 def test_crowded_keys_are_parted_and_lose_no_match(spark):
     rnd = random.Random(5)
     base = people(rnd, 60)
