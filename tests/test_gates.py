@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from docketry import lineage
 from docketry.operators import contract, evaluation, gates, jurisdiction, linkage, monthly, restatement
 from docketry.sources import cells, layer, people, snapshots
 
@@ -124,3 +125,12 @@ def test_linkage_floor(spark):
 def test_threshold_choice(spark):
     swept = spark.createDataFrame([(0.4, 0.99, 1.0), (0.6, 0.996, 0.99), (0.7, 0.999, 0.986), (0.8, 1.0, 0.9)], "threshold double, precision double, recall double")
     assert evaluation.conservative_threshold(swept) == 0.7 and evaluation.conservative_threshold(swept, min_precision=1.1) == 0.8
+
+
+def test_links_need_no_pair_that_cannot_reach_the_threshold(spark, rows):
+    a, b = people.labelled_sources(spark, 250, seed=3)
+    pa, pb = lineage.cut(linkage.prepare(a)), lineage.cut(linkage.prepare(b))
+    every = lineage.cut(linkage.score_pairs(pa, pb, linkage.candidate_pairs(pa, pb)))
+    few = lineage.cut(linkage.reachable_pairs(pa, pb, 0.65))
+    above = lambda df: rows(df.where("score >= 0.65"), "rec_id_a", "rec_id_b", "score")
+    assert above(linkage.score_pairs(pa, pb, few)) == above(every) and few.count() == few.distinct().count() < 0.6 * every.count()
