@@ -205,7 +205,7 @@ def value_likeness(records: DataFrame, wanted: DataFrame, payload: str = "payloa
     sides = wanted.select(F.col("a_file").alias("file_id"), F.col("a").alias("field")).unionByName(wanted.select(F.col("b_file").alias("file_id"), F.col("b").alias("field"))).distinct()
     some = raw_fields(records.join(sides.select("file_id").distinct(), "file_id", "left_semi"), payload).select("file_id", F.explode("_fields").alias("field", "_v")).join(sides, ["file_id", "field"], "left_semi")
     text = F.upper(F.trim(F.coalesce(F.try_variant_get("_v", "$", "string"), F.to_json("_v"))))
-    shape = F.regexp_replace(F.regexp_replace(F.substring(text, 1, 40), "[0-9]", "9"), "[A-Z]+", "A")
+    shape = F.regexp_replace(F.regexp_replace(text, "[0-9]", "9"), "[A-Z]+", "A")
     bucket = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("bucket"))
     held = some.where(json_kind(F.col("_v")).isNotNull()).select("file_id", "field", F.explode(F.array(bucket("value", text), bucket("shape", shape))).alias("x"))
     counts = held.groupBy("file_id", "field", "x.kind", "x.bucket").agg(F.count("*").alias("n"))
