@@ -250,6 +250,13 @@ def test_crowded_keys_are_parted_and_lose_no_match(spark):
     assert truth <= every and truth <= parted < every and len(parted) < len(every) / 3
 
 
+def test_records_of_a_crowded_key_meet_without_another_key(spark):
+    crowd = [(f"C{i}", "c", "XAVIER", "KELLBERG", f"{1940 + i % 60}-{1 + i // 60:02d}-07", "500 FORT FENCE DR", "00211", "") for i in range(510)]
+    two = [("A1", "a", "OPHELIA", "KELLBERG", "", "500 FORT FENCE DR", "00211", ""), ("B1", "b", "PHELIA", "KELLBERG", "1988-02-03", "500 FORT FENCE DR", "00211", "")]
+    pairs = matching.candidate_pairs(matching.prepare(spark.createDataFrame(two + crowd, PERSON)))
+    assert pairs.where("a.id = 'A1' AND b.id = 'B1'").count() == 1
+
+
 def test_transitivity_lowers_the_weaker_link(spark):
     k = lambda s, i: {"source": s, "id": i}
     df = spark.createDataFrame([(k("a", "1"), k("b", "2"), 0.99), (k("a", "1"), k("b", "3"), 0.7), (k("a", "4"), k("b", "5"), 0.9)], "a struct<source:string,id:string>, b struct<source:string,id:string>, p double")
