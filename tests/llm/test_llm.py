@@ -236,6 +236,18 @@ def test_unknown_birth_dates_say_nothing_however_many_others_meet(spark, times):
     assert got[4] >= 0.5 and max(got[len(same) :]) < 0.5
 
 
+def test_rounds_of_the_mixture_share_their_code(spark):
+    rows = [(1.0, 1.0, 1.0, 1.0, 50), (1.0, 1.0, None, 0.9, 20), (0.9, 1.0, 0.8, None, 20), (0.2, 0.3, 0.0, 0.4, 90), (0.1, 1.0, 0.0, 1.0, 40), (0.3, 0.2, None, None, 5)]
+    vectors = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in matching.FEATURES) + ", n long").coalesce(1).cache()
+    compiled = spark.sparkContext._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME
+    model = matching.maximise(vectors, F.col("last"))
+    second = matching.maximise(vectors, matching.posterior_of(model))
+    once = compiled().getCount()
+    third = matching.maximise(vectors, matching.posterior_of(second))
+    assert abs(second["share"] - model["share"]) > 1e-6 and (second["match"][0] != third["match"][0]).any()
+    assert compiled().getCount() == once
+
+
 def test_crowded_keys_are_parted_and_lose_no_match(spark):
     rnd = random.Random(5)
     base = people(rnd, 60)
