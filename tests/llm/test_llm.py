@@ -346,3 +346,15 @@ def test_short_words_with_one_letter_wrong_are_damage():
     words = {"of", "on", "with"}
     assert leakage.same_word("of", "mf", words) and leakage.same_word("with", "wxyh", words) and not leakage.same_word("of", "on", words) and not leakage.same_word("of", "zz", words)
     assert abs(leakage._likeness([("of", "mf")])[0] - leakage.alike("of", "mf")) < 1e-9
+
+
+def test_people_who_moved_are_matched_however_many_strangers_share_a_birth_date(spark):
+    same = [(1.0, 1.0, 1.0, 1.0, 800), (1.0, 1.0, 1.0, 0.4, 80), (0.85, 1.0, 0.8, 1.0, 60), (1.0, 0.95, None, 0.97, 50), (1.0, 1.0, 0.5, 0.96, 40)]
+    kin = [(0.2, 1.0, 0.0, 1.0, 500), (0.25, 1.0, 0.4, 0.97, 80), (0.2, 0.3, 0.0, 0.9, 60)]
+    strangers = [(0.2, 1.0, 1.0, 0.4, 600), (1.0, 0.2, 1.0, 0.4, 600), (0.3, 0.3, 1.0, 0.4, 400), (0.25, 0.25, 1.0, 0.45, 200)]
+    vectors = spark.createDataFrame(same + kin + strangers, ", ".join(f"{f} double" for f in matching.FEATURES) + ", n long").coalesce(1).cache()
+    model = matching.maximise(vectors, ((F.col("first") >= 0.8) & (F.col("last") >= 0.8) & F.coalesce(F.col("dob") > 0, F.lit(True))).cast("double"))
+    for _ in range(12):
+        model = matching.maximise(vectors, matching.posterior_of(model))
+    got = [x["p"] for x in vectors.select(matching.posterior_of(model, final=True).alias("p")).collect()]
+    assert min(got[: len(same)]) >= 0.5 and max(got[len(same) :]) < 0.5
