@@ -134,3 +134,16 @@ def test_links_need_no_pair_that_cannot_reach_the_threshold(spark, rows):
     few = lineage.cut(linkage.reachable_pairs(pa, pb, 0.65))
     above = lambda df: rows(df.where("score >= 0.65"), "rec_id_a", "rec_id_b", "score")
     assert above(linkage.score_pairs(pa, pb, few)) == above(every) and few.count() == few.distinct().count() < 0.6 * every.count()
+
+
+def test_ties_take_no_round_for_each_link(spark, rows, monkeypatch):
+    calls = []
+    monkeypatch.setattr(linkage, "cut", lambda df: calls.append(1) or lineage.cut(df))
+    tied = [(f"A{i:02d}", f"B{j:02d}", 0.8, i == j) for i in range(12) for j in range(12)] + [("A00", "B11", 0.9, None)]
+    got = linkage.one_to_one(spark.createDataFrame(tied, "rec_id_a string, rec_id_b string, score double, same boolean"), 0.65)
+    taken, want = set(), []
+    for a, b, score, _ in sorted(tied, key=lambda x: (-x[2], x[0], x[1])):
+        if not {a, b} & taken:
+            taken |= {a, b}
+            want.append((a, b, score))
+    assert rows(got, "rec_id_a", "rec_id_b", "score") == sorted(want) and got.where("same").count() == 0 and len(calls) <= 5
